@@ -28,7 +28,51 @@ def op4_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_cascade, op3_minimax_shards, op4_pivotal_mix)}
+def op5_countmin_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from helixtable.llm.substring import strip_repeats
+
+    df = strip_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return df.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op8_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from helixtable.llm.token_counts import prefix_table
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
+    counts = prefix_table(docs, public_tokenizers.path("piece_bpe_32k.model"), ["doc_id", "n_bytes"])
+    n = F.when(F.size("prefix_counts") > 0, F.element_at("prefix_counts", -1)).otherwise(0).cast("long")
+    return counts.select("doc_id", "n_bytes", n.alias("n_tokens"), (n > 4096).alias("over_limit"))
+
+
+def op9_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from helixtable.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), ["doc_id"])
+
+
+def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from helixtable.llm.simhash import clusters
+
+    df = clusters(table(spark, sf_dir, "documents"), ["doc_id"])
+    return df.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_quality_cascade,
+        op3_minimax_shards,
+        op4_pivotal_mix,
+        op5_countmin_substrings,
+        op8_prefix_tokens,
+        op9_genetic_packing,
+        op10_simhash_groups,
+    )
+}
 
 #: DuckDB SQL by query, where SQL can express it.
 ORACLES: dict[str, str] = {}
