@@ -5,9 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from helixtable.llm import chat
 from helixtable.llm.common import table
 
 
+def op1_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from helixtable.llm.nn_descent import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     from helixtable.llm.quality_rules import cascade
 
@@ -35,6 +42,18 @@ def op5_countmin_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_compression_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from helixtable.llm.compression_classifier import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
+
+
+def op7_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from helixtable.llm.chat import format_chats
+
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op8_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -64,10 +83,13 @@ def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_nn_descent,
         op2_quality_cascade,
         op3_minimax_shards,
         op4_pivotal_mix,
         op5_countmin_substrings,
+        op6_compression_scores,
+        op7_snapshot_collapse,
         op8_prefix_tokens,
         op9_genetic_packing,
         op10_simhash_groups,
@@ -75,4 +97,4 @@ QUERIES = {
 }
 
 #: DuckDB SQL by query, where SQL can express it.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_snapshot_collapse": chat.SQL}
