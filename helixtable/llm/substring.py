@@ -8,8 +8,10 @@ positions for 100 windows.
 1. Each partition sketches its anchors; the sketches are added up per range of counters. Counters are never too low.
 2. Windows whose anchor may be repeated go to the exact count as runs: neighbouring windows with one anchor position. Runs
    with equal words (hashes of the first and last window, which cover them) are counted first; each different run then
-   brings its windows once, weighted, and windows are counted by 96-bit hashes. Nothing that repeats is lost.
-3. Documents get their repeated windows back and drop the words under them.
+   brings its windows once, weighted, and windows are counted by hashes of the anchor and of the whole. Nothing that
+   repeats is lost.
+3. Documents get their repeated windows back and drop the words under them. Runs are computed again for that instead of being kept with
+   all their hashes, and texts are compressed on their way through the join: both save disk for some CPU time.
 
 The merged sketch is two bit maps ("counted twice or more") of a fixed size, broadcast; with corpora beyond its width the
 sketch lets more pass and the exact count does more of the work, with the same result.
@@ -27,18 +29,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
-from helixtable.llm.common import settled, stash
+from helixtable.llm.common import stash
 
 WINDOW, GRAM = 35, 8
 SPAN = WINDOW - GRAM + 1
 ROWS, WIDTH_BITS, RANGE_BITS = 2, 27, 21
 CHUNK_WORDS, CACHE_WORDS = 400_000, 400_000
-M64 = (1 << 64) - 1
-BASE, BASE2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+BASE = 0x9E3779B97F4A7C15
 SALTS = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
 
@@ -112,10 +115,6 @@ class _Chunk:
         c = np.minimum(c[: -(SPAN - 16)], c[SPAN - 16 :])
         self.anchor = (c[self.at] & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
-    def second(self) -> np.ndarray:
-        """32 further bits of each window's hash."""
-        return (_hashes(_mix(self.h * np.uint64(BASE2)), BASE2)[1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-
 
 def _counters(grams: np.ndarray, row: int, width_bits: int) -> np.ndarray:
     return (grams * np.uint64(SALTS[row])) >> np.uint64(64 - width_bits)
@@ -185,16 +184,12 @@ def merged_sketch(docs: DataFrame, width_bits: int = WIDTH_BITS) -> np.ndarray:
     return out
 
 
-RUN = "rid long, at long, a long, b long, n int, w array<long>, x array<int>"
-
-
-def candidate_runs(docs: DataFrame, sketch: np.ndarray, width_bits: int = WIDTH_BITS) -> DataFrame:
+def candidate_runs(docs: DataFrame, shared: Broadcast, width_bits: int, hashes: bool) -> DataFrame:
     """Runs of windows whose anchor may be repeated.
 
-    rid and at: the row (see row_id) and the place of its first window; a, b: hashes of the first and the last window;
-    n: windows less one; w, x: 64 and 32 bits of each window's hash.
+    a, b: hashes of the first and the last window; n: windows less one. With hashes, then g: the anchor's hash, and w: the
+    windows' hashes; else rid and at: the row (see row_id) and the place of its first window.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
@@ -210,26 +205,20 @@ def candidate_runs(docs: DataFrame, sketch: np.ndarray, width_bits: int = WIDTH_
                 at, anchor = c.at[maybe], c.anchor[maybe]
                 if not len(at):
                     continue
-                w, x = c.windows[at].view(np.int64), c.second()[at]
+                w = c.windows[at].view(np.int64)
                 first = np.concatenate([[0], np.flatnonzero((np.diff(anchor) != 0) | (np.diff(at) != 1)) + 1])
                 last = np.concatenate([first[1:], [len(at)]]) - 1
-                doc = np.searchsorted(c.first, at[first], side="right") - 1
-                row = np.array(rows)[doc]
-                offsets = pa.array(np.concatenate([first, [len(at)]]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(rid[row]),
-                        pa.array((th[row] << 32) | (at[first] - c.first[doc])),
-                        pa.array(w[first]),
-                        pa.array(w[last]),
-                        pa.array((last - first).astype(np.int32)),
-                        pa.ListArray.from_arrays(offsets, pa.array(w)),
-                        pa.ListArray.from_arrays(offsets, pa.array(x)),
-                    ],
-                    names=["rid", "at", "a", "b", "n", "w", "x"],
-                )
-
-    return docs.select(*row_id(), "text").mapInArrow(part, RUN)
+                cols = {"a": pa.array(w[first]), "b": pa.array(w[last]), "n": pa.array((last - first).astype(np.int32))}
+                if hashes:
+                    offsets = pa.array(np.concatenate([first, [len(at)]]).astype(np.int32))
+                    cols |= {"g": pa.array(c.grams[anchor[first]].view(np.int64)), "w": pa.ListArray.from_arrays(offsets, pa.array(w))}
+                else:
+                    doc = np.searchsorted(c.first, at[first], side="right") - 1
+                    row = np.array(rows)[doc]
+                    cols |= {"rid": pa.array(rid[row]), "at": pa.array((th[row] << 32) | (at[first] - c.first[doc]))}
+                yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+
+    return docs.select(*row_id(), "text").mapInArrow(part, "a long, b long, n int, " + ("g long, w array<long>" if hashes else "rid long, at long"))
 
 
 def row_id() -> list:
@@ -240,15 +229,16 @@ def row_id() -> list:
 
 def repeated_windows(docs: DataFrame, width_bits: int = WIDTH_BITS) -> DataFrame:
     """rid, th and spans (array of first window and bit mask of repeated windows from there) of rows with repeats."""
-    runs = stash(candidate_runs(docs, merged_sketch(docs, width_bits), width_bits))
+    sketch = docs.sparkSession.sparkContext.broadcast(merged_sketch(docs, width_bits))
     key = ["a", "b", "n"]
-    kinds = settled(runs.groupBy(*key).agg(F.count(F.lit(1)).alias("times"), F.first("w").alias("w"), F.first("x").alias("x")))
-    each = kinds.select(*key, F.least("times", F.lit(2)).alias("times"), F.posexplode(F.arrays_zip("w", "x")).alias("i", "y"))
-    each = each.select(*key, "times", "i", "y.w", "y.x")
-    twice = each.groupBy("w", "x").agg(F.sum("times").alias("c")).where("c >= 2").select("w", "x")
+    kinds = candidate_runs(docs, sketch, width_bits, hashes=True).groupBy(*key).agg(F.count(F.lit(1)).alias("times"), F.first("g").alias("g"), F.first("w").alias("w"))
+    kinds = stash(kinds)
+    each = kinds.select(*key, "g", F.least("times", F.lit(2)).alias("times"), F.posexplode("w").alias("i", "w"))
+    twice = each.groupBy("g", "w").agg(F.sum("times").alias("c")).where("c >= 2").select("g", "w")
     bit = F.expr("shiftleft(1L, i)")
-    single = each.where("times = 1").join(twice, ["w", "x"], "left_semi").groupBy(*key).agg(F.bit_or(bit).alias("mask"))
+    single = each.where("times = 1").join(twice, ["g", "w"], "left_semi").groupBy(*key).agg(F.bit_or(bit).alias("mask"))
     whole = kinds.where("times > 1").select(*key, (F.expr("shiftleft(1L, n + 1)") - 1).alias("mask"))
+    runs = candidate_runs(docs, sketch, width_bits, hashes=False)
     masks = whole.unionByName(single)
     found = runs.select("rid", "at", *key).join(masks, key)
     span = F.struct(F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).alias("at"), "mask")
@@ -267,6 +257,19 @@ def covered_words(n: int, spans) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
+def squeezed(df: DataFrame) -> DataFrame:
+    """df with its text compressed, as the binary column text."""
+    names = df.columns
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shrink = zstandard.ZstdCompressor(level=3).compress
+        for b in batches:
+            z = pa.array([shrink(t.as_py().encode()) if t.is_valid else None for t in b.column("text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([z if c == "text" else b.column(c) for c in names], names=names)
+
+    return df.mapInArrow(part, ", ".join(f"`{c}` {'binary' if c == 'text' else t}" for c, t in df.dtypes))
+
+
 def strip_repeats(docs: DataFrame, width_bits: int = WIDTH_BITS) -> DataFrame:
     """docs with n_words, n_removed (longs) and kept_text (kept words joined by one space; empty for no words)."""
     new = ["n_words", "n_removed", "kept_text"]
@@ -274,13 +277,15 @@ def strip_repeats(docs: DataFrame, width_bits: int = WIDTH_BITS) -> DataFrame:
     spans = repeated_windows(docs, width_bits)
     keyed = docs.select(*old, *[c.alias(f"_{n}") for c, n in zip(row_id(), ("rid", "th"))])
     s = spans.select(F.col("rid").alias("_rid"), F.col("th").alias("_th"), F.col("spans").alias("_spans"))
-    joined = keyed.join(s, ["_rid", "_th"], "left").drop("_rid", "_th")
+    joined = squeezed(keyed).join(s, ["_rid", "_th"], "left").drop("_rid", "_th")
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand = zstandard.ZstdDecompressor().decompress
         for b in batches:
+            texts = [expand(z.as_py()) if z.is_valid else None for z in b.column("text")]
             out: list[list] = [[], [], []]
-            for text, found in zip(b.column("text"), b.column("_spans")):
-                ws = text.as_py().encode().split() if text.is_valid else []
+            for text, found in zip(texts, b.column("_spans")):
+                ws = text.split() if text else []
                 kept = ws
                 if found.is_valid:
                     gone = covered_words(len(ws), found.as_py())
@@ -288,7 +293,8 @@ def strip_repeats(docs: DataFrame, width_bits: int = WIDTH_BITS) -> DataFrame:
                 out[0].append(len(ws))
                 out[1].append(len(ws) - len(kept))
                 out[2].append(b" ".join(kept).decode())
-            cols = [b.column(c) for c in old] + [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string())]
+            plain = pa.array(texts, pa.binary()).cast(pa.string())
+            cols = [plain if c == "text" else b.column(c) for c in old] + [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string())]
             yield pa.RecordBatch.from_arrays(cols, names=old + new)
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in old)
