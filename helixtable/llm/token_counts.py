@@ -15,16 +15,20 @@ and prefix_counts replaces a column of its name.
 
 from __future__ import annotations
 
+import math
 import re
+from array import array
 from collections.abc import Iterator
+from operator import sub
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-CACHE_WORDS, CACHE_PAIRS, CHUNK_CHARS = 400_000, 1_000_000, 2_000_000
+CACHE_WORDS, CACHE_PAIRS, CHUNK_CHARS = 800_000, 800_000, 2_000_000
 
 
 class PrefixCounter:
@@ -36,14 +40,17 @@ class PrefixCounter:
         sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         plain = [i for i in range(sp.vocab_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
         self.score = {sp.id_to_piece(i): sp.get_score(i) for i in plain}
-        self.longest = max(map(len, self.score))
         if any(MARK in p.lstrip(MARK) for p in self.score) or sp.decode(sp.encode(" ﬁ a  b\n ")) != " ﬁ a  b\n ":
             raise ValueError("this vocabulary joins words or normalises texts")
         alone = "" if any("\n" in p for p in self.score) else "\n"
         self.split = re.compile(f"{MARK}*[^{MARK}{alone}]+|{MARK}+" + (f"|{alone}" if alone else "")).findall
         self.words: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.own: dict[str, bool] = {}
+        self.splits: dict[str, tuple[str, str]] = {}
+        self.pieces = ahocorasick.Automaton()
+        for p in filter(self.itself, self.score):
+            self.pieces.add_word(p, (p, len(p)))
+        self.pieces.make_automaton()
 
     def merge(self, text: str) -> list[str]:
         """Pieces after merging neighbours, best score first and leftmost of equals."""
@@ -58,38 +65,92 @@ class PrefixCounter:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
+    def split_of(self, t: str) -> tuple[str, str] | None:
+        """The two parts that the last merge of a piece joins; None for one character."""
+        known = self.splits.get(t)
+        if known is None and len(t) > 1:
+            parts = list(t)
+            while len(parts) > 2:
+                at = max(range(len(parts) - 1), key=lambda i: (self.score.get(parts[i] + parts[i + 1], -math.inf), -i))
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            known = self.splits[t] = tuple(parts)
+        return known
+
     def apart(self, a: str, b: str) -> bool:
+        """Whether two pieces stay apart when their characters are merged together.
+
+        Their own merges are undone, latest first; at each stage the two parts that touch must not make a piece that would have
+        been merged before the merge that was just undone (from the left, ties go to the left). Pieces of space marks alone have equal
+        scores and are merged out instead.
+        """
         known = self.pairs.get((a, b))
         if known is None:
             if len(self.pairs) >= CACHE_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[a, b] = self.merge(a + b) == [a, b]
+            known = self.pairs[a, b] = self._apart(a, b) if a[0] != MARK or a[-1] != MARK else self.merge(a + b) == [a, b]
         return known
 
+    def _apart(self, a: str, b: str) -> bool:
+        score = self.score
+        limit, right = -math.inf, False  # what touches merges first if its score is above this; also at it, left of the merge undone
+        while True:
+            joined = score.get(a + b)
+            if joined is not None and (joined > limit or (right and joined == limit)):
+                return False
+            sa, sb = (score.get(a, math.inf) if len(a) > 1 else math.inf), (score.get(b, math.inf) if len(b) > 1 else math.inf)
+            if sa == sb == math.inf:
+                return True
+            if sa < sb:  # the left piece was finished last
+                limit, a, right = sa, self.split_of(a)[1], False
+            else:
+                limit, b, right = sb, self.split_of(b)[0], True
+
     def itself(self, t: str) -> bool:
-        known = self.own.get(t)
-        if known is None:
-            known = self.own[t] = len(t) == 1 or self.merge(t) == [t]
-        return known
+        """Whether a piece is its own encoding."""
+        return len(t) == 1 or self.merge(t) == [t]
 
     def word(self, text: str) -> list[int]:
-        """Token counts of the prefixes of one word, from length 0 on."""
-        counts, last = [0], [""]
-        for end in range(1, len(text) + 1):
-            for start in range(max(0, end - self.longest), end):
-                t = text[start:end]
-                if (end - start == 1 or t in self.score) and self.itself(t) and (not start or self.apart(last[start], t)):
-                    break
-            else:
-                raise ValueError(f"no encoding of {text[:end]!r}")
-            counts.append(counts[start] + (1 if t in self.score else len(t.encode())))
-            last.append(t)
+        """Token counts of the prefixes of one word, from length 0 on.
+
+        The automaton gives the pieces that end at each place; where none fits, the character itself is the last token.
+        """
+        n = len(text)
+        counts, last = [0] * (n + 1), [""] * (n + 1)
+        pairs = self.pairs
+
+        def alone(p: int) -> None:
+            last[p] = text[p - 1]
+            counts[p] = counts[p - 1] + (1 if last[p] in self.score else len(last[p].encode()))
+
+        ready = 1
+        for at, (t, size) in self.pieces.iter(text):
+            end = at + 1
+            if last[end]:
+                continue
+            while ready < end:
+                if not last[ready]:
+                    alone(ready)
+                ready += 1
+            start = end - size
+            if start:
+                fits = pairs.get((last[start], t))
+                if fits is None:
+                    fits = self.apart(last[start], t)
+                if not fits:
+                    continue
+            last[end] = t
+            counts[end] = counts[start] + 1
+        while ready <= n:
+            if not last[ready]:
+                alone(ready)
+            ready += 1
         return counts
 
     def steps(self, word: str) -> bytes:
         known = self.words.get(word)
         if known is None:
-            known = np.diff(self.word(word)).astype(np.int16).tobytes()
+            counts = self.word(word)
+            known = array("h", map(sub, counts[1:], counts)).tobytes()
             if len(self.words) >= CACHE_WORDS:
                 self.words.clear()
             if len(word) <= 64:
