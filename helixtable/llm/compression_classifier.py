@@ -18,7 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,12 +116,13 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     keep = [c for c in keep if c != "score"]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b[keep].assign(score=shared.value.scores(b["_text"].tolist()))
+            scores = pa.array(shared.value.scores(b.column("_text").to_pylist()), pa.float64())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), scores], names=[*keep, "score"])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, F.col("text").alias("_text")).mapInPandas(part, f"{fields}, score double")
+    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(part, f"{fields}, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, keep: list[str], threshold: float = 0.7) -> DataFrame:

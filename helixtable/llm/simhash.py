@@ -21,7 +21,7 @@ from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_digest
@@ -52,13 +52,13 @@ def fingerprint(text: str | None) -> int:
 def with_fingerprints(docs: DataFrame, keep: list[str]) -> DataFrame:
     """The columns in keep and fp (long)."""
 
-    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b[keep].assign(fp=np.array([fingerprint(t) for t in b["text"]], dtype=np.int64))
+            fp = pa.array([fingerprint(t.as_py()) for t in b.column("_text")], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), fp], names=[*keep, "fp"])
 
-    cols = [F.col(c) for c in keep] + ([] if "text" in keep else [F.col("text")])
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*cols).mapInPandas(part, f"{fields}, fp long")
+    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(part, f"{fields}, fp long")
 
 
 def _ball(value: Column, width: int = 32) -> Column:

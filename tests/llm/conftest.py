@@ -16,6 +16,7 @@ ROWS = [
     (8, "one two three four", "s1", 9),
     (9, " ".join(f"w{i}" for i in range(200)), "s1", 9),
     (10, " ".join(f"w{i}" for i in range(200)), "s2", 9),
+    (2**60 + 1, "large identifier, that no double holds", "s2", 9),
 ]
 
 
