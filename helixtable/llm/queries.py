@@ -70,7 +70,7 @@ def op9_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from helixtable.llm.packing import pack
 
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), ["doc_id"])
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), ["doc_id"], public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:

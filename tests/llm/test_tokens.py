@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from helixtable.llm import packing, token_counts
 
-MODEL, BYTES = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.json")
+MODEL, BYTES, RANKS = (public_tokenizers.path(x) for x in ("piece_bpe_32k.model", "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"))
 
 
 @pytest.fixture(scope="module")
@@ -39,6 +39,16 @@ def test_every_prefix(counter, library):
         assert got.tolist() == [len(library.encode(t[: i + 1])) for i in range(len(t))], repr(t)
 
 
+def test_pairs_stay_apart_as_merging_says(counter):
+    rng = random.Random(6)
+    own = [p for p in counter.score if counter.itself(p)]
+    some = [p for p in own if len(p) <= 3] + rng.sample(own, 3000)
+    for _ in range(60_000):
+        a, b = rng.choice(some), rng.choice(some)
+        if "▁" not in b:
+            assert counter.apart(a, b) == (counter.merge(a + b) == [a, b]), (a, b)
+
+
 def test_whole_documents(spark, library):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = token_counts.prefix_table(docs, MODEL, ["doc_id"]).select("doc_id", F.element_at("prefix_counts", -1).alias("n"), F.size("prefix_counts").alias("chars"))
@@ -93,7 +103,8 @@ def check(rows, docs, encode):
 @pytest.mark.parametrize("which", ["odd", "docs"])
 def test_packing(which, request, encode):
     df = request.getfixturevalue(which)
-    rows = packing.pack(df, BYTES, ["doc_id"]).collect()
+    rows = packing.pack(df, BYTES, ["doc_id"], RANKS).collect()
+    assert {(r.doc_id, r.ids_crc32) for r in rows} == {(r.doc_id, r.ids_crc32) for r in packing.pieces(df, BYTES, ["doc_id"]).collect()}
     used = check(rows, df.collect(), encode)
     assert used <= -(-sum(r.length for r in rows) // 1024) + 2
 
@@ -112,10 +123,19 @@ def test_many_cells(spark):
 
 
 def test_unusual_texts(encode):
-    e = packing.Encoder(open(BYTES, encoding="utf-8").read())
-    texts = odd_texts() + ["it's we'll 'tis ''s", "x<|endoftext|>y", "a  b \n c\n", "É×ß ÷ 12³ Ω", "tab\tand  two", " ' s", " x"]
-    got = [np.frombuffer(x, dtype="<u4").tolist() + [2] for x in e.encode(texts)]
-    assert got == [encode(t) for t in texts]
+    texts = odd_texts() + ["it's we'll 'tis ''s", "x<|endoftext|>y", "a  b \n c\n", "É×ß ÷ 12³ Ω", "tab\tand  two", " ' s", " x"]
+    for e in (packing.Encoder(open(BYTES, encoding="utf-8").read()), packing.Encoder(open(BYTES, encoding="utf-8").read(), open(RANKS, "rb").read())):
+        assert [np.frombuffer(e.encode(t), dtype="<u4").tolist() + [2] for t in texts] == [encode(t) for t in texts]
+
+
+def test_both_libraries_agree(spark, encode):
+    e = packing.Encoder(open(BYTES, encoding="utf-8").read(), open(RANKS, "rb").read())
+    usual = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    rng = random.Random(7)
+    usual += ["".join(chr(rng.choice([*range(32, 127), 9, 10, 13, *range(0xC0, 0x250)])) for _ in range(80)) for _ in range(2000)]
+    assert sum(not packing.UNUSUAL(t) for t in usual) > 2000
+    for t in usual:
+        assert np.frombuffer(e.encode(t), dtype="<u4").tolist() + [2] == encode(t), repr(t)
 
 
 def test_best_fit_and_crossover():
@@ -130,6 +150,22 @@ def test_best_fit_and_crossover():
     assert best[0].fitness() >= a.fitness() or len(best[0].bins) <= len(a.bins)
 
 
+def test_evolution_beats_best_fit():
+    """Triples that fill sequences exactly, which best fit alone does not find; and the bound never exceeds a packing."""
+    rng, sizes = random.Random(8), []
+    for _ in range(120):
+        a, b = rng.randrange(260, 420), rng.randrange(260, 420)
+        sizes += [a, b, 1024 - a - b]
+    plain = packing.Packing(sizes).place(packing.longest_first(sizes, list(range(len(sizes))), rng))
+    best = packing.evolve(sizes, [], random.Random(9))
+    for seed in range(3):  # more epochs, with migration of the best
+        best = packing.evolve(sizes, best[:1] + best[:2], random.Random(seed))
+    assert packing.least_sequences(sizes) == 120 <= len(best[0].bins) < len(plain.bins)
+    for n in range(1, 60):
+        s = [rng.randrange(1, 1025) for _ in range(n)]
+        assert -(-sum(s) // 1024) <= packing.least_sequences(s) <= len(packing.Packing(s).place(sorted(range(n), key=lambda i: -s[i])).bins)
+
+
 def test_empty(odd):
     none = odd.where("false")
     assert packing.pack(none, BYTES, ["doc_id"]).count() == token_counts.prefix_table(none, MODEL, ["doc_id"]).count() == 0
