@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from helixtable.functions import columns as C
+from helixtable.scratch import kept
 
 CODES = ["N", "C", "NC", "-"]
 
@@ -38,9 +39,12 @@ def no_hit_grid(species: DataFrame, domains: DataFrame) -> DataFrame:
 
 
 def completeness_grid(domains: DataFrame, species: DataFrame, best: bool = False) -> DataFrame:
-    """Found cells and No-Hit cells of all listed species, with their rank; best: one row for each cell."""
-    found = completeness(domains)
-    grid = found.unionByName(no_hit_grid(species, distinct_values(domains, "domain"))).withColumn("rank", C.completeness_rank(F.col("incomplete_desc")))
+    """Found cells and No-Hit cells of all listed species, with their rank; best: one row for each cell.
+
+    The found cells are kept, since the list of domains comes from them too: the domains are read once.
+    """
+    found = kept(completeness(domains))
+    grid = found.unionByName(no_hit_grid(species, distinct_values(found, "domain"))).withColumn("rank", C.completeness_rank(F.col("incomplete_desc")))
     if not best:
         return grid
     first = F.min_by(F.struct("bitscore", "incomplete", "incomplete_desc", "rank"), F.coalesce("rank", F.lit(5))).alias("b")
@@ -65,8 +69,11 @@ def range_counts(ranges: DataFrame) -> DataFrame:
 
 
 def contingency(ranges: DataFrame, ordered: bool = True) -> DataFrame:
-    """Counts for all observed species x observed domains x four codes, 0 where there is no range; other codes are left out."""
-    counts = range_counts(ranges)
+    """Counts for all observed species x observed domains x four codes, 0 where there is no range; other codes are left out.
+
+    The counts are kept, since both axes come from them too: the ranges are merged once.
+    """
+    counts = kept(range_counts(ranges))
     spark = ranges.sparkSession
     codes = spark.sql("SELECT explode(array(" + ", ".join(f"'{c}'" for c in CODES) + ")) AS incomplete")
     cells = counts.select("species").distinct().crossJoin(counts.select("domain").distinct()).crossJoin(F.broadcast(codes))

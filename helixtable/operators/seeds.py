@@ -7,6 +7,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from helixtable.scratch import kept
+
 # Amino acids of the standard genetic code, codons in the order T, C, A, G of each base.
 AMINO = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
 CODONS = dict(zip(map("".join, product("TCAG", repeat=3)), AMINO))
@@ -30,10 +32,10 @@ def seed_join(queries: DataFrame, subjects: DataFrame, cap: int) -> DataFrame:
     """Pairs (query, q_pos, subject, s_pos) of equal k-mers; k-mers with more than cap places among the subjects are left out.
 
     queries(query, kmer, q_pos), subjects(subject, kmer, s_pos). The cap is the operator's: it bounds what one query k-mer
-    brings. Only k-mers that a query has are counted.
+    brings. Only k-mers that a query has are counted, and they are kept, so that the subjects are cut into k-mers once.
     """
     asked = queries.select("kmer").distinct()
-    near = subjects.join(asked, "kmer", "left_semi")
+    near = kept(subjects.join(asked, "kmer", "left_semi"))
     rare = near.groupBy("kmer").count().where(F.col("count") <= cap).select("kmer")
     return queries.join(rare, "kmer").join(near, "kmer").select("query", "q_pos", "subject", "s_pos")
 

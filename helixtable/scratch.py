@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -15,3 +15,10 @@ def shared_folder(spark: SparkSession) -> str:
         base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df written once to a shared folder and read from there, for small summaries that a report uses several times."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
