@@ -118,10 +118,12 @@ def mix(docs: DataFrame, carry: list[str], weights: tuple[int, ...] = (5, 2, 1),
         if widest <= 1:
             break
         level += 1
-        salted = rest.join(counts, "source_no").withColumn("g", F.pmod(F.xxhash64(F.lit(level), "u"), F.ceil(F.col("count") / GROUP)))
-        here = settled(_round_groups(salted.select("source_no", "g", F.struct("size", "u", "p", "band", "salt").alias("unit")), ["source_no", "g"], F.col("unit"), seed + level))
-        out = here.select("source_no", "picks", "i", "p", F.posexplode("units").alias("at", "x"))
-        out = out.select("source_no", "x.band", "x.salt", "x.u", "x.size", F.array_contains("picks", F.col("at")).alias("chosen"), (F.col("at") == F.col("i")).alias("open"), F.col("p"))
+        # one column as the key: rows that the join has dealt by source would else stay together by source
+        group = F.col("source_no").cast("long") * F.lit(1 << 32) + F.pmod(F.xxhash64(F.lit(level), "u"), F.ceil(F.col("count") / GROUP))
+        salted = rest.join(counts, "source_no").select(group.alias("g"), F.struct("size", "u", "p", "source_no", "band", "salt").alias("unit"))
+        here = settled(_round_groups(salted, ["g"], F.col("unit"), seed + level))
+        out = here.select("picks", "i", "p", F.posexplode("units").alias("at", "x"))
+        out = out.select("x.source_no", "x.band", "x.salt", "x.u", "x.size", F.array_contains("picks", F.col("at")).alias("chosen"), (F.col("at") == F.col("i")).alias("open"), F.col("p"))
         done.append(out.where("not open or p <= 1e-9").select(*key, "chosen"))
         rest = out.where("open and p > 1e-9").select(*key, "u", "p", "size")
     last = rest.select(*key, (_unit(seed, F.col("u")) < F.col("p")).alias("chosen"))
