@@ -10,6 +10,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt to all cores where its files make fewer partitions, for steps that cost much for each row; else as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores // 2 else df
+
+
 def hits(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFrame:
     """One hit for each line item. dense: fewer domains and chromosomes, so that many ranges overlap."""
     t = {n: table(spark, sf_dir, n) for n in ("lineitem", "part", "supplier", "nation")}

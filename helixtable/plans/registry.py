@@ -310,7 +310,7 @@ seeds AS (SELECT query, q_pos, subject, s_pos FROM q JOIN rare USING (kmer) JOIN
 
 
 def _kmers(spark, sf, name, key, as_id, pos):
-    return seeds.kmers(B.table(spark, sf, name), K, key, "text").select(F.col(key).alias(as_id), "kmer", F.col("pos").alias(pos))
+    return seeds.kmers(B.spread(B.table(spark, sf, name).select(key, "text")), K, key, "text").select(F.col(key).alias(as_id), "kmer", F.col("pos").alias(pos))
 
 
 @query(f"WITH {KMERS} SELECT query, kmer, q_pos FROM q")
