@@ -40,7 +40,7 @@ from helixtable.llm.common import stash
 WINDOW, GRAM = 35, 8
 SPAN = WINDOW - GRAM + 1
 ROWS, WIDTH_BITS, RANGE_BITS = 2, 27, 21
-CHUNK_WORDS, CACHE_WORDS = 400_000, 400_000
+CHUNK_WORDS, CACHE_WORDS = 200_000, 200_000
 BASE = 0x9E3779B97F4A7C15
 SALTS = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
@@ -145,7 +145,7 @@ def _sketch(batches: Iterator[pd.DataFrame], width_bits: int) -> Iterator[pd.Dat
             for r in range(ROWS):
                 pieces[r].append(_counters(grams, r, width_bits))
             held += len(grams)
-            if held > 4_000_000:  # a long partition sends its sketch in instalments
+            if held > 1_000_000:  # a long partition sends its sketch in instalments
                 yield pd.DataFrame(list(packed()))
                 held = 0
     if out := list(packed()):
