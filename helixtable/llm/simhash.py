@@ -31,17 +31,23 @@ from helixtable.llm.common import components, settled
 SEED, SHINGLE, BITS, HOT = 42, 3, 2, 32
 
 
-def fingerprint(text: str | None) -> int:
-    """Bit majority over the hashes of a text's word shingles, as a signed 64-bit number."""
+def shingle_hashes(text: str | None, size: int) -> bytes:
+    """The 64-bit hashes of a text's word shingles, one after the other; a shorter text is one shingle, a blank one has none."""
     ws = (text or "").encode().lower().split()  # bytes: lower() and split() know ASCII alone
     if not ws:
+        return b""
+    line = b" ".join(ws)
+    if len(ws) < size:
+        return xxh64_digest(line, SEED)
+    at = [0, *accumulate(len(w) + 1 for w in ws)]
+    return b"".join([xxh64_digest(line[a : b - 1], SEED) for a, b in zip(at, at[size:])])
+
+
+def fingerprint(text: str | None) -> int:
+    """Bit majority over the hashes of a text's word shingles, as a signed 64-bit number."""
+    hashes = shingle_hashes(text, SHINGLE)
+    if not hashes:
         return 0
-    if len(ws) < SHINGLE:
-        hashes = xxh64_digest(b" ".join(ws), SEED)
-    else:
-        line = b" ".join(ws)
-        at = [0, *accumulate(len(w) + 1 for w in ws)]
-        hashes = b"".join([xxh64_digest(line[a : b - 1], SEED) for a, b in zip(at, at[SHINGLE:])])
     h = np.frombuffer(hashes, dtype=np.uint8).reshape(-1, 8)
     ones = np.zeros(64, dtype=np.int64)
     for i in range(0, len(h), 65536):
