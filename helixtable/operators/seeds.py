@@ -28,16 +28,23 @@ def kmers(sequences: DataFrame, k: int, id_col: str = "seq_id", sequence: str =
     return pieces.select(id_col, F.explode(each).alias("x")).select(id_col, "x.kmer", "x.pos")
 
 
-def seed_join(queries: DataFrame, subjects: DataFrame, cap: int) -> DataFrame:
-    """Pairs (query, q_pos, subject, s_pos) of equal k-mers; k-mers with more than cap places among the subjects are left out.
+def seed_join(queries: DataFrame, subjects: DataFrame, cap: int | None = None, salts: int = 16, hot: int = 1000) -> DataFrame:
+    """Pairs (query, q_pos, subject, s_pos) of equal k-mers.
 
-    queries(query, kmer, q_pos), subjects(subject, kmer, s_pos). The cap is the operator's: it bounds what one query k-mer
-    brings. Only k-mers that a query has are counted, and they are kept, so that the subjects are cut into k-mers once.
+    queries(query, kmer, q_pos), subjects(subject, kmer, s_pos). Only k-mers that a query has are counted, and they are
+    kept, so that the subjects are cut into k-mers once. A k-mer with more than hot places among the subjects is dealt to
+    salts parts, with a copy of its queries in each. With a cap, k-mers with more places than that are left out.
     """
     asked = queries.select("kmer").distinct()
     near = kept(subjects.join(asked, "kmer", "left_semi"))
-    rare = near.groupBy("kmer").count().where(F.col("count") <= cap).select("kmer")
-    return queries.join(rare, "kmer").join(near, "kmer").select("query", "q_pos", "subject", "s_pos")
+    sizes = near.groupBy("kmer").count()
+    if cap is not None:
+        rare = sizes.where(F.col("count") <= cap).select("kmer")
+        return queries.join(rare, "kmer").join(near, "kmer").select("query", "q_pos", "subject", "s_pos")
+    parts = sizes.where(F.col("count") > hot).select("kmer", F.lit(salts).alias("parts"))
+    dealt = near.join(F.broadcast(parts), "kmer", "left").withColumn("salt", F.pmod(F.xxhash64("subject", "s_pos"), F.coalesce("parts", F.lit(1))))
+    copies = queries.join(F.broadcast(parts), "kmer", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
+    return copies.withColumn("salt", F.col("salt").cast("long")).join(dealt.withColumn("salt", F.col("salt").cast("long")), ["kmer", "salt"]).select("query", "q_pos", "subject", "s_pos")
 
 
 def diagonal_hits(seeds: DataFrame, min_seeds: int = 3) -> DataFrame:

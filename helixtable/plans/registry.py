@@ -302,7 +302,7 @@ def fasta_quality(spark, sf):
 
 # -- seeds
 
-K, CAP, SEEDS = 12, 20, 3
+K, SEEDS = 12, 3
 KMERS = """q AS (SELECT item_id AS query, substr(text, CAST(i AS BIGINT), 12) AS kmer, CAST(i AS INT) AS q_pos FROM benchmark, unnest(range(1, length(text) - 10)) u(i))"""
 SEED_SQL = KMERS + """, s AS (SELECT doc_id AS subject, substr(text, CAST(i AS BIGINT), 12) AS kmer, CAST(i AS INT) AS s_pos FROM documents, unnest(range(1, length(text) - 10)) u(i)),
 near AS (SELECT * FROM s WHERE kmer IN (SELECT kmer FROM q)), rare AS (SELECT kmer FROM near GROUP BY kmer HAVING count(*) <= 20),
@@ -320,7 +320,7 @@ def kmers(spark, sf):
 
 @query(f"WITH {SEED_SQL} SELECT query, q_pos, subject, s_pos FROM seeds")
 def seed_join(spark, sf):
-    return seeds.seed_join(kmers(spark, sf), _kmers(spark, sf, "documents", "doc_id", "subject", "s_pos"), CAP)
+    return seeds.seed_join(kmers(spark, sf), _kmers(spark, sf, "documents", "doc_id", "subject", "s_pos"))
 
 
 @query(f"WITH {SEED_SQL} SELECT query, subject, s_pos - q_pos AS diagonal, count(*) AS seed_count, min(s_pos) AS s_from, max(s_pos) AS s_to FROM seeds GROUP BY ALL HAVING count(*) >= 3")

@@ -223,3 +223,18 @@ def test_kmers_and_frames(spark):
 def test_quality_of_files(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", ""), ("b", "y")], "file string, seq_id string")
     assert {r.file: (r.records, r.empty_ids, r.distinct_ids, r.valid) for r in catalog.fasta_quality(df).collect()} == {"a": (2, 0, 1, True), "b": (2, 1, 2, False)}
+
+
+def test_seed_join_keeps_frequent_kmers(spark):
+    """A passage in more subjects than any cap keeps all its seeds, with and without salted k-mers."""
+    passage = "ACGTTGCAAGCTTAGC"
+    subjects = [(i, "C" * (i % 5) + passage) for i in range(60)] + [(99, "TTTT")]
+    q = seeds.kmers(spark.createDataFrame([(1, passage)], "query long, sequence string"), 8, "query").withColumnRenamed("pos", "q_pos")
+    s = seeds.kmers(spark.createDataFrame(subjects, "subject long, sequence string"), 8, "subject").withColumnRenamed("pos", "s_pos")
+    places = lambda text, i: [(i, p + 1, text[p : p + 8]) for p in range(len(text) - 7)]
+    want = sorted((1, qp, i, sp) for i, text in subjects for _, sp, k in places(text, i) for _, qp, w in places(passage, 1) if w == k)
+    for hot in (1000, 10):
+        got = seeds.seed_join(q, s, hot=hot)
+        assert sorted(tuple(r) for r in got.collect()) == want
+        assert {r.subject for r in seeds.diagonal_hits(got).collect()} == set(range(60))
+    assert seeds.seed_join(q, s, 20).count() == 0
