@@ -7,7 +7,8 @@ ones cannot lead to links.
 
 A list full of links may lack some. Such a saturated list is enlarged to all of the node's component of links, which is compared in
 blocks of bounded size; a block sends one count for each of its rows, not pairs. An audit compares a bounded sample of
-nodes with all nodes by brute force; where too few of its links were found, further tables are added and the rounds repeat.
+nodes with all nodes by brute force; where too few of its links were found, further tables are added and the rounds repeat,
+and the job fails if the last attempt has too few.
 
 Defined results: vectors that are null, empty or zero, or hold null or non-finite components link with nothing; vectors of different lengths do
 not link; equal vectors link with each other; repeated rows count as vectors of their own; rows with a null vec_id take
@@ -18,7 +19,7 @@ further columns are left out.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil, log2
+from math import acos, ceil, log, log2, pi
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from helixtable.llm.common import components, settled
 
 K, TABLES, LEAF, BUCKET, BLOCK = 10, 24, 48, 1024, 512
-ROUNDS, STEADY, SAMPLE, RECALL, RETRIES = 6, 0.005, 512, 0.99, 2
+ROUNDS, STEADY, SAMPLE, RECALL, RETRIES, MISS = 6, 0.005, 512, 0.99, 2, 0.001
 PAIRS = "a long, b long, sim double"
 
 
@@ -82,6 +83,12 @@ def _nearest_in_groups(df: DataFrame, keys: list[str], k: int, floor: float) ->
     return df.select(*keys, "node", "vec").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(part, PAIRS)
 
 
+def tables_for(n: int, threshold: float, leaf: int = LEAF) -> int:
+    """Tables in which a pair just at the threshold shares no bucket with a chance of at most MISS; TABLES at least."""
+    hit = (1 - acos(threshold) / pi) ** max(1, ceil(log2(max(2, n / leaf))))
+    return max(TABLES, ceil(log(MISS) / log(1 - hit))) if hit < 1 else TABLES
+
+
 def bucket_pairs(nodes: DataFrame, n: int, k: int, floor: float, seed: int, tables: int = TABLES, leaf: int = LEAF) -> DataFrame:
     """PAIRS of nodes that share a bucket in a table; buckets of more than BUCKET nodes are dealt to parts by hash."""
     bits = max(1, ceil(log2(max(2, n / leaf))))
@@ -167,7 +174,10 @@ def block_counts(members: DataFrame, threshold: float) -> DataFrame:
 
 
 def audit(nodes: DataFrame, found: DataFrame, threshold: float) -> float:
-    """Share of the links of SAMPLE nodes that found(node, links) has; the sample is broadcast, all nodes are read once."""
+    """Mean share of its links that found(node, links) has of each of SAMPLE nodes with links; the sample is broadcast, all nodes are read once.
+
+    Each node counts alike, so that those of dense components do not outweigh pairs.
+    """
     sample = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("node", "vec").collect()
     by_dim: dict[int, tuple] = {}
     for dim in {len(r.vec) for r in sample}:
@@ -185,11 +195,12 @@ def audit(nodes: DataFrame, found: DataFrame, threshold: float) -> float:
                 yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array((near @ t["weight"].to_numpy()).astype(np.int64))], names=["node", "truth"])
 
     truth = nodes.select("node", "vec", "weight", F.size("vec").alias("dim")).mapInArrow(part, "node long, truth long").groupBy("node").agg(F.sum("truth").alias("truth"))
-    have, want = truth.join(found, "node", "left").agg(F.sum(F.least(F.coalesce("links", F.lit(0)), "truth")), F.sum("truth")).first()
-    return have / want if want else 1.0
+    share = F.least(F.coalesce("links", F.lit(0)), "truth") / F.col("truth")
+    mean = truth.where("truth > 0").join(found, "node", "left").agg(F.avg(share)).first()[0]
+    return 1.0 if mean is None else mean
 
 
-def near_duplicates(embeddings: DataFrame, threshold: float = 0.9, k: int = K, tables: int = TABLES) -> DataFrame:
+def near_duplicates(embeddings: DataFrame, threshold: float = 0.9, k: int = K, tables: int | None = None) -> DataFrame:
     """vec_id, n_links, component_id and kept for each row of embeddings(vec_id, embedding)."""
     e = F.col("embedding")
     bad = F.exists(e, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -198,6 +209,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.9, k: int = K, t
     kinds = df.where("vec is not null").groupBy("h", "vec").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("weight"))
     nodes = settled(kinds.withColumn("node", F.monotonically_increasing_id()))  # numbers are stable over a checkpoint
     n, floor = nodes.count(), 2 * threshold * threshold - 1
+    tables = tables or tables_for(n, threshold)
 
     pairs = None
     for attempt in range(RETRIES + 1):
@@ -214,8 +226,11 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.9, k: int = K, t
         loose = links.join(vectors.select(F.col("node").alias("b"), "weight"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("weight").alias("links"))
         loose = loose.join(named.join(saturated, "component", "left_semi"), "node", "left_anti")
         found = settled(dense.union(loose))
-        if attempt == RETRIES or audit(nodes, found, threshold) >= RECALL:
+        recall = audit(nodes, found, threshold)
+        if recall >= RECALL:
             break
+    else:
+        raise RuntimeError(f"only {recall:.4f} of the links were found after {RETRIES + 1} attempts with {tables} tables each")
 
     least = named.join(nodes.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("component_id"))
     result = nodes.join(named, "node").join(least, "component").join(found, "node", "left")

@@ -63,3 +63,18 @@ def test_large_components_go_in_blocks(spark, monkeypatch):
 
 def test_empty(spark):
     assert nn_descent.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_low_recall_is_not_returned(spark, monkeypatch):
+    pairs = nn_descent.bucket_pairs
+    monkeypatch.setattr(nn_descent, "bucket_pairs", lambda *a: pairs(*a).where("false"))
+    monkeypatch.setattr(nn_descent, "RETRIES", 0)
+    rows = [(i, v) for i, v in enumerate([[1.0, 0.0], [1.0, 0.1], [0.0, 1.0]])]
+    with pytest.raises(RuntimeError, match="links"):
+        nn_descent.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+
+
+@pytest.mark.parametrize("n", [2000, 10**6, 3 * 10**7])
+def test_tables_grow_with_bits(n):
+    hit = (1 - np.arccos(0.9) / np.pi) ** np.ceil(np.log2(n / nn_descent.LEAF))
+    assert (1 - hit) ** nn_descent.tables_for(n, 0.9) <= 0.001
