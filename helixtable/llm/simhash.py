@@ -107,6 +107,7 @@ def clusters(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each group, with the columns of docs: the one with the smallest doc_id (nulls last, then by text hash)."""
-    key = docs.select("*", F.coalesce("doc_id", F.xxhash64("text")).alias("_k"), F.col("doc_id").isNull().alias("_null"))
-    best = clusters(key, ["_k", "_null"]).groupBy("component").agg(F.min(F.struct("_null", "_k")).alias("b")).select("b._k", "b._null")
-    return key.join(best, ["_k", "_null"], "left_semi").dropDuplicates(["_k", "_null"]).select(docs.columns)
+    key = docs.select("*", F.coalesce("doc_id", F.xxhash64("text")).alias("_k"), F.col("doc_id").isNull().alias("_null"), F.xxhash64("text").alias("_hash"))
+    name = ["_null", "_k", "_hash"]  # a doc_id may stand for several texts
+    best = clusters(key, name).groupBy("component").agg(F.min(F.struct(*name)).alias("b")).select("b.*")
+    return key.join(best, name, "left_semi").dropDuplicates(name).select(docs.columns)

@@ -136,3 +136,9 @@ def test_sketch_never_undercounts(docs):
 def test_empty(odd):
     none = odd.where("false")
     assert simhash.clusters(none, ["doc_id"]).count() == simhash.keep_one(none).count() == substring.strip_repeats(none).count() == 0
+
+
+def test_repeated_ids_keep_their_texts(spark):
+    rows = [(1, "one two three four five six"), (1, "seven eight nine ten eleven twelve"), (2, "one two three four five six")]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(tuple(r) for r in got.collect()) == rows[:2]
