@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 SPACE = " \t\n\x0b\x0c\r"
 SPACES = r"[\x20\x09-\x0D]+"
 
+#: Most rows of two numbers that components() broadcasts.
+JUMPS = 100_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -28,10 +31,20 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def fresh(df: DataFrame, stem: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder for checkpoints; where the session names none (tests), a temporary one is set."""
+    """The cluster's shared folder for checkpoints; where a local session names none (tests), a temporary one is set."""
     given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not given:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         given = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", given)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -53,25 +66,32 @@ def stash(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def components(nodes: DataFrame, links: DataFrame, rounds: int = 60) -> DataFrame:
-    """Smallest node reachable from each node: columns node and component.
+def components(nodes: DataFrame | None, links: DataFrame, rounds: int = 60) -> DataFrame:
+    """Smallest node reachable from each node: columns node and component; without nodes, those of linked nodes alone.
 
     nodes: column node (long, unique). links: columns a, b (longs among the nodes), in any direction, repeats allowed.
     Each round takes the smallest label among the linked nodes (a partial aggregate before the shuffle) and then jumps
     to the label's own label, so that long chains shrink geometrically. Nodes without links never enter the rounds.
+
+    Labels that have moved themselves are few near the end and never those of settled components, whose members so need no jump:
+    only they are joined to the members, as a broadcast where a count says that they are at most JUMPS.
     """
     both = links.where(F.col("a") != F.col("b"))
     both = settled(both.select("a", "b").union(both.select(F.col("b"), F.col("a"))).distinct())
     labels = settled(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
     for _ in range(rounds):
         near = both.join(labels, both.b == labels.node).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        step = labels.join(near, "node").select("node", F.least("label", "near").alias("to"), "label")
-        jump = labels.select(F.col("node").alias("to"), F.col("label").alias("far"))
-        moved = settled(step.join(jump, "to").select("node", F.least("to", "far").alias("now"), "label"))
-        changed = moved.where("now <> label").limit(1).count()
-        labels = moved.select("node", F.col("now").alias("label"))
-        if not changed:
+        step = settled(labels.join(near, "node").select("node", F.least("label", "near").alias("to"), "label"))
+        # where labels lead: the least one that each label in use has itself now
+        roots = step.select("to").distinct().join(step.select(F.col("node").alias("to"), F.col("to").alias("far")), "to").where("far < to")
+        n = roots.count()
+        moved = step.withColumn("far", F.col("to")) if not n else step.join(F.broadcast(roots) if n <= JUMPS else roots, "to", "left")
+        labels = moved.select("node", F.least("to", F.coalesce("far", "to")).alias("now"), "label")
+        if not n and not step.where("to <> label").limit(1).count():
+            labels = labels.select("node", F.col("now").alias("label"))
             break
+        labels = settled(labels.select("node", F.col("now").alias("label")))
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
-    return nodes.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("component"))
+    named = labels.select("node", F.col("label").alias("component"))
+    return named if nodes is None else nodes.join(named, "node", "left").select("node", F.coalesce("component", "node").alias("component"))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from helixtable.llm.common import n_words, settled, stash
+from helixtable.llm.common import fresh, n_words, settled, stash
 
 GROUP = 64
 EPS = 1e-9
@@ -82,16 +82,42 @@ def _round_groups(df: DataFrame, keys: list[str], unit: Column, seed: int) -> Da
     return grouped.withColumn("a", F.aggregate(pairs, start, _meet(seed))).select(*keys, "units", "a.picks", "a.i", "a.p")
 
 
+def _row_hash(docs: DataFrame) -> Column:
+    """What makes a row: all its columns but maps, which have no hash."""
+    return F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind])
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """rows, a settled table, with u (a hash) made another number for each repetition; which repetition gets which does not matter.
+
+    Repetitions are numbered within a partition of the settled table and go on after those of the partitions before,
+    so that a row that is repeated very often is numbered by many tasks.
+    """
+    dealt = rows.withColumn("part", F.spark_partition_id())
+    counts = settled(dealt.groupBy("u", "part").agg(F.count(F.lit(1)).alias("n")))
+    many = counts.groupBy("u").agg(F.sum("n").alias("all")).where("all > 1").select("u")
+    before = F.sum("n").over(Window.partitionBy("u").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = settled(counts.join(many, "u", "left_semi").select("u", "part", F.coalesce(before, F.lit(0)).alias("offset")))
+    if not offsets.limit(1).count():
+        return rows
+    rank = F.row_number().over(Window.partitionBy("u", "part").orderBy(F.lit(0))) - 1 + F.col("offset")
+    number = F.when(F.col("offset").isNotNull(), rank).otherwise(0)
+    numbered = dealt.join(offsets, ["u", "part"], "left").withColumn("number", number)
+    return settled(numbered.withColumn("u", F.when(F.col("number") > 0, F.xxhash64("u", "number")).otherwise(F.col("u"))).select(rows.columns))
+
+
 def mix(docs: DataFrame, carry: list[str], weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: int = 7) -> DataFrame:
-    """The carried columns of docs with size, source_size, target and copies (how often the mix takes the row)."""
-    size = n_words(F.col("text"))
+    """The carried columns of docs (narrow ones: they go through the rounding) with size, source_size, target and copies (how often the mix takes the row)."""
     names = [c for c in carry if c not in ("size", "source_size", "target", "copies")]
-    rows = docs.select(F.struct(*names).alias("row"), "source", size.alias("size"), F.xxhash64("doc_id", "text").alias("u"))
-    if "text" not in names:
-        rows = settled(rows)  # words are counted once; with the text carried along, they are counted again instead
+    rows = settled(docs.select(F.struct(*names).alias("row") if names else F.lit(None).alias("row"), "source", n_words(F.col("text")).alias("size"), _row_hash(docs).alias("u")))
+    out = _rounded(_numbered(rows), weights, most, seed)
+    return out.select(*(["row.*"] if names else []), "size", "source_size", "target", "copies")
+
+
+def _rounded(rows: DataFrame, weights: tuple[int, ...], most: int, seed: int) -> DataFrame:
+    """row, u, size, source_size, target and copies for rows(row, source, size, u)."""
     band = F.floor(F.log2(F.col("size") + 1.0) * 2).cast("int")
-    banded = rows.groupBy("source", band.alias("band")).agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"))
-    banded = settled(banded)
+    banded = settled(rows.groupBy("source", band.alias("band")).agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")))
     targets = source_targets(banded.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most)
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     plan = settled(
@@ -107,34 +133,52 @@ def mix(docs: DataFrame, carry: list[str], weights: tuple[int, ...] = (5, 2, 1),
         .join(plan.alias("p"), F.col("r.source").eqNullSafe(F.col("p.source")) & (F.col("r.band") == F.col("p.band")))
         .select("row", "size", "u", "source_no", "p.band", "source_size", "target", "whole", "p.p", F.pmod(F.col("u"), F.col("groups")).cast("int").alias("salt"))
     )
-    unit = F.struct("size", "u", "p", "row")
-    first = stash(_round_groups(units, [*key, "source_size", "target", "whole"], unit, seed))
+    first = stash(_round_groups(units, [*key, "source_size", "target", "whole"], F.struct("size", "u", "p", "row"), seed))
 
-    rest = first.select(*key, F.xxhash64(*key).alias("u"), F.col("p"), F.element_at("units", F.col("i") + 1)["size"].alias("size")).where(F.col("p") > EPS)
+    # residuals meet others of their band first, then, with one left for each band, those of twice as wide a band
+    rest = first.select(*key, F.xxhash64(*key).alias("u"), F.col("p"), F.element_at("units", F.col("i") + 1)["size"].alias("size"), F.col("band").alias("wide")).where(F.col("p") > EPS)
     rest, done, level = settled(rest), [], 0
     while True:
-        counts = rest.groupBy("source_no").count()
-        widest = counts.agg(F.max("count")).first()[0] or 0
-        if widest <= 1:
+        counts = rest.groupBy("source_no", "wide").count()
+        bands, widest = counts.groupBy("source_no").agg(F.count(F.lit(1)).alias("n"), F.max("count").alias("m")).agg(F.max("n"), F.max("m")).first()
+        if (bands or 0) <= 1 and (widest or 0) <= 1:
             break
         level += 1
+        if widest <= 1:
+            rest = rest.withColumn("wide", F.shiftright("wide", 1))
+            counts = rest.groupBy("source_no", "wide").count()
         # one column as the key: rows that the join has dealt by source would else stay together by source
-        group = F.col("source_no").cast("long") * F.lit(1 << 32) + F.pmod(F.xxhash64(F.lit(level), "u"), F.ceil(F.col("count") / GROUP))
-        salted = rest.join(counts, "source_no").select(group.alias("g"), F.struct("size", "u", "p", "source_no", "band", "salt").alias("unit"))
+        group = F.xxhash64("source_no", "wide") + F.pmod(F.xxhash64(F.lit(level), "u"), F.ceil(F.col("count") / GROUP))
+        salted = rest.join(counts, ["source_no", "wide"]).select(group.alias("g"), F.struct("size", "u", "p", "source_no", "band", "salt", "wide").alias("unit"))
         here = settled(_round_groups(salted, ["g"], F.col("unit"), seed + level))
         out = here.select("picks", "i", "p", F.posexplode("units").alias("at", "x"))
-        out = out.select("x.source_no", "x.band", "x.salt", "x.u", "x.size", F.array_contains("picks", F.col("at")).alias("chosen"), (F.col("at") == F.col("i")).alias("open"), F.col("p"))
+        out = out.select("x.source_no", "x.band", "x.salt", "x.wide", "x.u", "x.size", F.array_contains("picks", F.col("at")).alias("chosen"), (F.col("at") == F.col("i")).alias("open"), F.col("p"))
         done.append(out.where("not open or p <= 1e-9").select(*key, "chosen"))
-        rest = out.where("open and p > 1e-9").select(*key, "u", "p", "size")
+        rest = settled(out.where("open and p > 1e-9").select(*key, "u", "p", "size", "wide"))
     last = rest.select(*key, (_unit(seed, F.col("u")) < F.col("p")).alias("chosen"))
     for d in done:
         last = last.unionByName(d)
     out = first.join(last, key, "left").select("source_size", "target", "whole", "picks", "i", "p", "chosen", F.posexplode("units").alias("at", "x"))
     one_more = F.array_contains("picks", F.col("at")) | ((F.col("at") == F.col("i")) & F.coalesce("chosen", F.lit(False)))
-    return out.select("x.row.*", "x.size", "source_size", "target", (F.col("whole") + one_more.cast("int")).alias("copies"))
+    return out.select("x.row", "x.u", "x.size", "source_size", "target", (F.col("whole") + one_more.cast("int")).alias("copies"))
 
 
 def take(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: int = 7) -> DataFrame:
-    """The mixed corpus: rows of docs, each as often as the mix takes it, with the columns of docs."""
-    mixed = mix(docs, docs.columns, weights, most, seed).where("copies > 0")
-    return mixed.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).select(docs.columns)
+    """The mixed corpus: rows of docs, each as often as the mix takes it, with the columns of docs.
+
+    Only hashes of rows and their sizes are rounded; texts move once, to the numbers of copies. A row that is repeated in
+    full gets the sum of its repetitions' copies, dealt to them as evenly as can be.
+    """
+    own, times = fresh(docs, "mix_row"), fresh(docs, "mix_copies")
+    h = _row_hash(docs)
+    rows = settled(docs.select(F.lit(None).alias("row"), "source", n_words(F.col("text")).alias("size"), h.alias("u"), h.alias("h")).withColumn("row", F.struct("h")).drop("h"))
+    numbered = _numbered(rows)
+    plan = settled(_rounded(numbered, weights, most, seed).groupBy("row.h").agg(F.sum("copies").alias("total"), F.count(F.lit(1)).alias("n")))
+    even = plan.where("total % n = 0 and total > 0").select(F.col("h").alias(own), (F.col("total") / F.col("n")).cast("int").alias(times))
+    out = docs.withColumn(own, h).join(even, own).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(times))).alias(times)).select(docs.columns)
+    uneven = plan.where("total % n <> 0")
+    if uneven.limit(1).count():
+        # one row stands for all its repetitions here: they are alike in every column
+        one = docs.withColumn(own, h).join(uneven.select(F.col("h").alias(own), F.col("total").cast("int").alias(times)), own).dropDuplicates([own])
+        out = out.unionByName(one.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(times))).alias(times)).select(docs.columns))
+    return out
