@@ -76,5 +76,5 @@ def test_low_recall_is_not_returned(spark, monkeypatch):
 
 @pytest.mark.parametrize("n", [2000, 10**6, 3 * 10**7])
 def test_tables_grow_with_bits(n):
-    hit = (1 - np.arccos(0.9) / np.pi) ** np.ceil(np.log2(n / nn_descent.LEAF))
+    hit = (1 - np.arccos(0.9) / np.pi) ** nn_descent.table_bits(n, nn_descent.LEAF)
     assert (1 - hit) ** nn_descent.tables_for(n, 0.9) <= 0.001
