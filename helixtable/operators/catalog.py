@@ -35,3 +35,16 @@ def fasta_quality(records: DataFrame) -> DataFrame:
     empty = F.count_if(F.coalesce(F.col("seq_id"), F.lit("")) == "")
     out = records.groupBy("file").agg(F.count(F.lit(1)).alias("records"), empty.alias("empty_ids"), F.count_distinct("seq_id").alias("distinct_ids"))
     return out.withColumn("valid", (F.col("records") > 0) & (F.col("empty_ids") == 0))
+
+
+def duplicate_ids(records: DataFrame) -> DataFrame:
+    """file, seq_id and n of identifiers that a file has more than once; empty ones are counted by fasta_quality."""
+    return records.where(F.coalesce(F.col("seq_id"), F.lit("")) != "").groupBy("file", "seq_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def fasta_verdict(records: DataFrame) -> DataFrame:
+    """One row: files, how many of them are not fit for use, how many have duplicate identifiers, and whether all are fit."""
+    files, twice = fasta_quality(records), duplicate_ids(records).select("file").distinct().withColumn("twice", F.lit(True))
+    return files.join(twice, "file", "left").agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(~F.col("valid")).alias("unfit"), F.count_if(F.coalesce("twice", F.lit(False))).alias("with_duplicates"), F.coalesce(F.bool_and("valid"), F.lit(False)).alias("all_valid")
+    )

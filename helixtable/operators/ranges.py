@@ -5,12 +5,17 @@ Coordinates are closed and start at 1. Ranges are flat columns, so that filters
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from helixtable.functions import columns as C
 
+#: Bases of a bin in which one task merges the ranges of a group.
+BIN = 1 << 20
 GROUP = ["species", "domain", "incomplete", "chromosome", "strand"]
 
 
@@ -36,20 +41,45 @@ def _islands(df: DataFrame, keys: list[str], min_gap: int, sums: list) -> DataFr
     return df.groupBy(*keys, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"), *sums).drop("_island")
 
 
-def reduce_ranges(ranges: DataFrame, by: list[str] = GROUP, min_gap: int = 1, bin_size: int | None = None) -> DataFrame:
+def _stitched(islands: DataFrame, by: list[str], min_gap: int, sums: list) -> DataFrame:
+    """Islands of bins (by, _bin) merged over the edges of the bins.
+
+    A window over one row for each bin says how far the bins before reach. Islands that start within that reach belong
+    to the island that reaches so far, which is the one that was opened last before the bin; all others open one.
+    """
+    earlier = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    same_bin = lambda a, b: reduce(and_, [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in [*by, "_bin"]])
+    bins = islands.groupBy(*by, "_bin").agg(F.max("end").alias("_end"))
+    bins = bins.select(*by, "_bin", F.max("_end").over(earlier).alias("_reach"))
+    df = islands.alias("i").join(bins.alias("b"), same_bin("i", "b")).select("i.*", "b._reach")
+    df = df.withColumn("_own", F.when(F.col("_reach").isNull() | (F.col("start") > F.col("_reach") + min_gap), F.col("start")))
+    opened = df.groupBy(*by, "_bin").agg(F.max("_own").alias("_last"))
+    opened = opened.select(*by, "_bin", F.last("_last", ignorenulls=True).over(earlier).alias("_open"))
+    df = df.alias("i").join(opened.alias("b"), same_bin("i", "b")).select("i.*", F.coalesce("i._own", "b._open").alias("_island"))
+    return df.groupBy(*by, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"), *sums).drop("_island")
+
+
+def reduce_ranges(ranges: DataFrame, by: list[str] = GROUP, min_gap: int = 1, bin_size: int | None = BIN) -> DataFrame:
     """Overlapping or touching ranges of a group as one, with the mean bitscore and the number of members.
 
-    The mean is null if a member's score is. One shuffle and one sort serve both windows and the aggregate. With
-    bin_size, ranges are first merged within bins of their starts and the islands then among each other, sums and counts
-    travelling along, for groups that are too large for one task.
+    The mean is null if a member's score is. Ranges are merged within bins of their starts, of bin_size bases, and the islands then
+    over the bins' edges, with sums and counts travelling along: no task needs more of a group than a bin, or one
+    row for each of its bins. With bin_size=None one window runs over each whole group, which saves two shuffles where
+    groups are known to be small. Ranges without a chromosome or a coordinate are not merged: see split_valid().
     """
     valid, _ = split_valid(ranges)
     rows = valid.select(*by, "start", "end", F.col("bitscore").cast("double").alias("_s"), F.col("bitscore").isNull().cast("long").alias("_nulls"), F.lit(1).cast("long").alias("_n"))
     sums = [F.sum("_s").alias("_s"), F.sum("_nulls").alias("_nulls"), F.sum("_n").alias("_n")]
     if bin_size:
         binned = rows.withColumn("_bin", F.floor(F.col("start") / bin_size))
-        rows = _islands(binned, [*by, "_bin"], min_gap, sums).drop("_bin")
-    merged = _islands(rows, by, min_gap, sums)
+        merged = _stitched(_islands(binned, [*by, "_bin"], min_gap, sums), by, min_gap, sums)
+    else:
+        merged = _islands(rows, by, min_gap, sums)
     return merged.select(
         *by, "start", "end", (F.col("end") - F.col("start") + 1).alias("width"), F.when(F.col("_nulls") == 0, F.col("_s") / F.col("_n")).alias("mean_bitscore"), F.col("_n").alias("members")
     )
+
+
+def merge_ranges(ranges: DataFrame, by: list[str] = GROUP, min_gap: int = 1, bin_size: int | None = BIN) -> tuple[DataFrame, DataFrame]:
+    """Merged ranges, and the rows that could not be merged, as they are."""
+    return reduce_ranges(ranges, by, min_gap, bin_size), split_valid(ranges)[1]

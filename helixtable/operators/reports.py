@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from helixtable.functions import columns as C
-from helixtable.scratch import kept
+from helixtable.scratch import settled
 
 CODES = ["N", "C", "NC", "-"]
 
@@ -43,7 +43,7 @@ def completeness_grid(domains: DataFrame, species: DataFrame, best: bool = False
 
     The found cells are kept, since the list of domains comes from them too: the domains are read once.
     """
-    found = kept(completeness(domains))
+    found = settled(completeness(domains))
     grid = found.unionByName(no_hit_grid(species, distinct_values(found, "domain"))).withColumn("rank", C.completeness_rank(F.col("incomplete_desc")))
     if not best:
         return grid
@@ -73,7 +73,7 @@ def contingency(ranges: DataFrame, ordered: bool = True) -> DataFrame:
 
     The counts are kept, since both axes come from them too: the ranges are merged once.
     """
-    counts = kept(range_counts(ranges))
+    counts = settled(range_counts(ranges))
     spark = ranges.sparkSession
     codes = spark.sql("SELECT explode(array(" + ", ".join(f"'{c}'" for c in CODES) + ")) AS incomplete")
     cells = counts.select("species").distinct().crossJoin(counts.select("domain").distinct()).crossJoin(F.broadcast(codes))

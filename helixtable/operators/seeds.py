@@ -14,7 +14,7 @@ AMINO = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
 CODONS = dict(zip(map("".join, product("TCAG", repeat=3)), AMINO))
 
 
-def kmers(sequences: DataFrame, k: int, id_col: str = "seq_id", sequence: str = "sequence", piece: int = 256) -> DataFrame:
+def kmers(sequences: DataFrame, k: int, id_col: str = "seq_id", sequence: str = "sequence", piece: int = 48) -> DataFrame:
     """id, kmer and its place (from 1) for each k-mer of each sequence.
 
     Sequences are cut into short overlapping pieces first: a place in a long text costs time in proportion to it, and a
@@ -32,18 +32,20 @@ def seed_join(queries: DataFrame, subjects: DataFrame, cap: int | None = None, s
     """Pairs (query, q_pos, subject, s_pos) of equal k-mers.
 
     queries(query, kmer, q_pos), subjects(subject, kmer, s_pos). Only k-mers that a query has are counted, and they are
-    kept, so that the subjects are cut into k-mers once. A k-mer with more than hot places among the subjects is dealt to
-    salts parts, with a copy of its queries in each. With a cap, k-mers with more places than that are left out.
+    kept, so that the subjects are cut into k-mers once. The distinct k-mers of the queries are written first: their size is known
+    then, and where it is below Spark's broadcast limit the subjects' other k-mers go before any shuffle. A k-mer with more
+    than hot places among the subjects is dealt to salts parts, with a copy of its queries in each. With a cap, k-mers
+    with more places than that are left out.
     """
-    asked = queries.select("kmer").distinct()
+    asked = kept(queries.select("kmer").distinct())
     near = kept(subjects.join(asked, "kmer", "left_semi"))
     sizes = near.groupBy("kmer").count()
     if cap is not None:
         rare = sizes.where(F.col("count") <= cap).select("kmer")
         return queries.join(rare, "kmer").join(near, "kmer").select("query", "q_pos", "subject", "s_pos")
     parts = sizes.where(F.col("count") > hot).select("kmer", F.lit(salts).alias("parts"))
-    dealt = near.join(F.broadcast(parts), "kmer", "left").withColumn("salt", F.pmod(F.xxhash64("subject", "s_pos"), F.coalesce("parts", F.lit(1))))
-    copies = queries.join(F.broadcast(parts), "kmer", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
+    dealt = near.join(parts, "kmer", "left").withColumn("salt", F.pmod(F.xxhash64("subject", "s_pos"), F.coalesce("parts", F.lit(1))))
+    copies = queries.join(parts, "kmer", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
     return copies.withColumn("salt", F.col("salt").cast("long")).join(dealt.withColumn("salt", F.col("salt").cast("long")), ["kmer", "salt"]).select("query", "q_pos", "subject", "s_pos")
 
 

@@ -40,9 +40,9 @@ def hits(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFrame:
     )
 
 
-def partial(df: DataFrame) -> DataFrame:
-    """Hits that leave some species and domains without a whole copy."""
-    return df.where("incomplete <> '-' AND bitscore > 90")
+def fine(df: DataFrame) -> DataFrame:
+    """All hits under finer domains, few rows each, so that every kind of completeness occurs among them."""
+    return df.withColumn("domain", F.concat("domain", F.lit("."), F.col("p_size").cast("string")))
 
 
 HITS = """hits AS (
@@ -54,7 +54,7 @@ HITS = """hits AS (
         l_quantity * 2.0 AS bitscore, l_quantity * 2.0 AS pct_identity, l_tax AS evalue, CAST(l_quantity AS INT) * 2 AS aln_len, p_size
     FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
 )"""
-PARTIAL = HITS + ", cells AS (SELECT * FROM hits WHERE incomplete <> '-' AND bitscore > 90)"
+FINE = HITS + ", cells AS (SELECT * REPLACE (concat(domain, '.', p_size) AS domain) FROM hits)"
 NORMAL = HITS + """, normal AS (
     SELECT species, domain, incomplete, bitscore, nullif(regexp_extract(chromosome, '[A-Za-z]+_?[0-9]+[._]?[0-9]*', 0), '') AS chromosome,
         CASE WHEN start_pos < end_pos THEN '+' WHEN start_pos >= end_pos THEN '-' END AS strand,
@@ -77,7 +77,7 @@ table_cells AS (
     FROM (SELECT DISTINCT species FROM ranges) s CROSS JOIN (SELECT DISTINCT domain FROM ranges) d CROSS JOIN (VALUES ('N'), ('C'), ('NC'), ('-')) c(code)
     LEFT JOIN counts k ON k.species = s.species AND k.domain = d.domain AND k.incomplete = c.code
 )"""
-COMPLETENESS = PARTIAL + """, found AS (
+COMPLETENESS = FINE + """, found AS (
     SELECT species, domain, CASE WHEN count(*) = count(bitscore) THEN avg(bitscore) END AS bitscore,
         CASE WHEN bool_or(incomplete = '-') THEN 'W' WHEN bool_or(incomplete = 'NC') THEN 'NC' WHEN bool_or(incomplete = 'N') AND bool_or(incomplete = 'C') THEN 'B'
             WHEN bool_and(coalesce(incomplete = 'N', false)) THEN 'N' WHEN bool_and(coalesce(incomplete = 'C', false)) THEN 'C' END AS incomplete

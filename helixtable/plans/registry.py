@@ -34,12 +34,12 @@ def _nations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _rich(spark: SparkSession, sf: str) -> DataFrame:
-    """Species with a supplier of more than 7000."""
-    s = B.table(spark, sf, "supplier").where("s_acctbal > 7000").join(B.table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    return s.select(F.col("n_name").alias("species"))
+    """Species whose suppliers have more than 4500 on average."""
+    s = B.table(spark, sf, "supplier").join(B.table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    return s.groupBy(F.col("n_name").alias("species")).agg(F.avg("s_acctbal").alias("mean")).where("mean > 4500").select("species")
 
 
-RICH = "rich AS (SELECT n_name AS species FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 7000)"
+RICH = "rich AS (SELECT n_name AS species FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name HAVING avg(s_acctbal) > 4500)"
 
 
 # -- scans, filters, scalar functions
@@ -201,6 +201,25 @@ def reduce_ranges_binned(spark, sf):
     return ranges.reduce_ranges(ranges.normalize(B.hits(spark, sf)), bin_size=500)
 
 
+_SPOILED = "CASE WHEN p_size > 45 THEN '?' ELSE chromosome END AS chromosome, CASE WHEN p_size = 1 THEN NULL ELSE start_pos END AS start_pos"
+
+
+def _spoiled(spark, sf):
+    """Hits of which some have no accession as chromosome and some no start."""
+    size = F.col("p_size")
+    return ranges.normalize(B.hits(spark, sf).withColumns({"chromosome": F.when(size > 45, "?").otherwise(F.col("chromosome")), "start_pos": F.when(size == 1, F.lit(None)).otherwise(F.col("start_pos"))}))
+
+
+@query(f"""WITH {B.HITS}, spoiled AS (SELECT * REPLACE ({_SPOILED}) FROM hits)
+    SELECT species, domain, incomplete, CASE WHEN p_size > 45 THEN NULL ELSE regexp_extract(chromosome, '[A-Za-z]+_?[0-9]+[._]?[0-9]*', 0) END AS chromosome,
+        start_pos IS NOT NULL AS has_start FROM spoiled WHERE p_size > 45 OR p_size = 1""")
+def rejected_ranges(spark, sf):
+    """Ranges that could not be merged, beside the merged ones."""
+    _, odd = ranges.merge_ranges(_spoiled(spark, sf))
+    # a range without a start has no strand, and its one coordinate stands for both
+    return odd.select("species", "domain", "incomplete", "chromosome", F.col("strand").isNotNull().alias("has_start"))
+
+
 @query(f'WITH {B.RANGES} SELECT species, domain, incomplete, count(*) AS "count" FROM ranges GROUP BY ALL')
 def range_counts(spark, sf):
     return reports.range_counts(_ranges(spark, sf))
@@ -226,29 +245,29 @@ def scatter_frame(spark, sf):
 
 @query(f"WITH {B.COMPLETENESS} SELECT species, domain, bitscore, incomplete, incomplete_desc FROM completeness")
 def completeness(spark, sf):
-    return reports.completeness(B.partial(B.hits(spark, sf)))
+    return reports.completeness(B.fine(B.hits(spark, sf)))
 
 
 @query(f"WITH {B.COMPLETENESS} SELECT DISTINCT incomplete, incomplete_desc FROM completeness")
 def completeness_label(spark, sf):
-    cells = reports.completeness(B.partial(B.hits(spark, sf))).select("incomplete").distinct()
+    cells = reports.completeness(B.fine(B.hits(spark, sf))).select("incomplete").distinct()
     return cells.select("incomplete", C.completeness_label(F.col("incomplete")).alias("incomplete_desc"))
 
 
 @query(f"WITH {B.COMPLETENESS} SELECT * FROM grid")
 def completeness_grid(spark, sf):
-    return reports.completeness_grid(B.partial(B.hits(spark, sf)), _nations(spark, sf))
+    return reports.completeness_grid(B.fine(B.hits(spark, sf)), _nations(spark, sf))
 
 
 @query(f"WITH {B.COMPLETENESS} SELECT DISTINCT incomplete_desc, rank FROM grid")
 def completeness_rank(spark, sf):
-    labels = reports.completeness_grid(B.partial(B.hits(spark, sf)), _nations(spark, sf)).select("incomplete_desc").distinct()
+    labels = reports.completeness_grid(B.fine(B.hits(spark, sf)), _nations(spark, sf)).select("incomplete_desc").distinct()
     return labels.select("incomplete_desc", C.completeness_rank(F.col("incomplete_desc")).alias("rank"))
 
 
 @query(f"WITH {B.COMPLETENESS} SELECT species, domain, bitscore, incomplete, incomplete_desc, rank FROM grid QUALIFY row_number() OVER (PARTITION BY species, domain ORDER BY rank) = 1")
 def completeness_best(spark, sf):
-    return reports.completeness_grid(B.partial(B.hits(spark, sf)), _nations(spark, sf), best=True)
+    return reports.completeness_grid(B.fine(B.hits(spark, sf)), _nations(spark, sf), best=True)
 
 
 @query(f"""WITH {B.COMPLETENESS} SELECT species, domain, CAST(dense_rank() OVER (ORDER BY domain DESC) AS INT) AS domain_order, bitscore, incomplete, incomplete_desc, rank,
@@ -260,9 +279,9 @@ def tile_frame(spark, sf):
 # -- species
 
 
-@query(f"WITH {B.PARTIAL} SELECT n_name AS species, domain, CAST(0 AS DOUBLE) AS bitscore, 'Z' AS incomplete, 'No Hit' AS incomplete_desc FROM nation CROSS JOIN (SELECT DISTINCT domain FROM cells)")
+@query(f"WITH {B.FINE} SELECT n_name AS species, domain, CAST(0 AS DOUBLE) AS bitscore, 'Z' AS incomplete, 'No Hit' AS incomplete_desc FROM nation CROSS JOIN (SELECT DISTINCT domain FROM cells)")
 def no_hit_grid(spark, sf):
-    return reports.no_hit_grid(_nations(spark, sf), reports.distinct_values(B.partial(B.hits(spark, sf)), "domain"))
+    return reports.no_hit_grid(_nations(spark, sf), reports.distinct_values(B.fine(B.hits(spark, sf)), "domain"))
 
 
 @query(f"WITH {RICH} SELECT n_name AS species FROM nation WHERE n_name NOT IN (SELECT species FROM rich)")
@@ -278,15 +297,31 @@ def species_intersect(spark, sf):
 # -- catalogue
 
 
+def _assemblies(spark, sf):
+    p = F.col("o_orderpriority")
+    level = F.when(p == "1-URGENT", "Complete Genome").when(p == "2-HIGH", "Chromosome").when(p == "3-MEDIUM", "Scaffold").when(p == "5-LOW", "Contig")
+    return B.table(spark, sf, "orders").select(F.col("o_custkey").alias("taxon"), F.col("o_orderkey").alias("report_index"), F.concat(F.lit("GCF_"), F.col("o_orderkey").cast("string"), F.lit(".1")).alias("accession"), level.alias("level"))
+
+
 @query("""WITH r AS (SELECT o_custkey AS taxon, o_orderkey AS report_index, concat('GCF_', o_orderkey, '.1') AS accession,
         CASE o_orderpriority WHEN '1-URGENT' THEN 'Complete Genome' WHEN '2-HIGH' THEN 'Chromosome' WHEN '3-MEDIUM' THEN 'Scaffold' WHEN '5-LOW' THEN 'Contig' END AS level FROM orders),
     k AS (SELECT *, CASE level WHEN 'Complete Genome' THEN 1 WHEN 'Chromosome' THEN 2 WHEN 'Scaffold' THEN 3 WHEN 'Contig' THEN 4 END AS p FROM r)
     SELECT taxon, accession, level FROM k WHERE p IS NOT NULL QUALIFY row_number() OVER (PARTITION BY taxon ORDER BY p, report_index) = 1""")
 def best_assembly(spark, sf):
-    p = F.col("o_orderpriority")
-    level = F.when(p == "1-URGENT", "Complete Genome").when(p == "2-HIGH", "Chromosome").when(p == "3-MEDIUM", "Scaffold").when(p == "5-LOW", "Contig")
-    rows = B.table(spark, sf, "orders").select(F.col("o_custkey").alias("taxon"), F.col("o_orderkey").alias("report_index"), F.concat(F.lit("GCF_"), F.col("o_orderkey").cast("string"), F.lit(".1")).alias("accession"), level.alias("level"))
-    return catalog.best_assembly(rows)
+    return catalog.best_assembly(_assemblies(spark, sf))
+
+
+@query("""WITH r AS (SELECT CAST(o_custkey AS VARCHAR) AS taxon, o_orderkey AS report_index, concat('GCF_', o_orderkey, '.1') AS accession,
+        CASE o_orderpriority WHEN '1-URGENT' THEN 'Complete Genome' WHEN '2-HIGH' THEN 'Chromosome' WHEN '3-MEDIUM' THEN 'Scaffold' WHEN '5-LOW' THEN 'Contig' END AS level FROM orders),
+    k AS (SELECT *, CASE level WHEN 'Complete Genome' THEN 1 WHEN 'Chromosome' THEN 2 WHEN 'Scaffold' THEN 3 WHEN 'Contig' THEN 4 END AS p FROM r),
+    best AS (SELECT taxon, accession, level FROM k WHERE p IS NOT NULL QUALIFY row_number() OVER (PARTITION BY taxon ORDER BY p, report_index) = 1),
+    asked AS (SELECT CAST(c_custkey AS VARCHAR) AS query FROM customer UNION ALL SELECT concat('GCA_', c_custkey, '.2') FROM customer)
+    SELECT query, query AS accession, 'Direct_Accession' AS level FROM asked WHERE query LIKE 'GCA%' UNION ALL SELECT query, accession, level FROM asked JOIN best ON query = taxon""")
+def resolve_queries(spark, sf):
+    """Assembly accessions stand for themselves, taxa take their best assembly."""
+    c = F.col("c_custkey").cast("string")
+    asked = B.table(spark, sf, "customer").select(F.explode(F.array(c, F.concat(F.lit("GCA_"), c, F.lit(".2")))).alias("query"))
+    return catalog.resolve_queries(asked, _assemblies(spark, sf).withColumn("taxon", F.col("taxon").cast("string")))
 
 
 @query("SELECT o_custkey AS term, concat('NP_', arg_min(o_orderkey, o_orderkey), '.1') AS accession FROM orders GROUP BY o_custkey")
@@ -295,18 +330,12 @@ def first_match(spark, sf):
     return catalog.first_match(rows)
 
 
-@query("SELECT source AS file, count(*) AS records, count(*) FILTER (WHERE coalesce(lang, '') = '') AS empty_ids, count(DISTINCT lang) AS distinct_ids, count(*) FILTER (WHERE coalesce(lang, '') = '') = 0 AS valid FROM documents GROUP BY source")
-def fasta_quality(spark, sf):
-    return catalog.fasta_quality(B.table(spark, sf, "documents").select(F.col("source").alias("file"), F.col("lang").alias("seq_id")))
-
-
 # -- seeds
 
 K, SEEDS = 12, 3
 KMERS = """q AS (SELECT item_id AS query, substr(text, CAST(i AS BIGINT), 12) AS kmer, CAST(i AS INT) AS q_pos FROM benchmark, unnest(range(1, length(text) - 10)) u(i))"""
 SEED_SQL = KMERS + """, s AS (SELECT doc_id AS subject, substr(text, CAST(i AS BIGINT), 12) AS kmer, CAST(i AS INT) AS s_pos FROM documents, unnest(range(1, length(text) - 10)) u(i)),
-near AS (SELECT * FROM s WHERE kmer IN (SELECT kmer FROM q)), rare AS (SELECT kmer FROM near GROUP BY kmer HAVING count(*) <= 20),
-seeds AS (SELECT query, q_pos, subject, s_pos FROM q JOIN rare USING (kmer) JOIN near USING (kmer))"""
+seeds AS (SELECT query, q_pos, subject, s_pos FROM q JOIN s USING (kmer))"""
 
 
 def _kmers(spark, sf, name, key, as_id, pos):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixtable.operators import ranges
+from helixtable.operators import catalog, ranges
 from helixtable.plans import binding as B
 from helixtable.schemas import DOMAIN_FIELDS
 from helixtable.scratch import shared_folder
@@ -50,6 +50,47 @@ def write_fasta(spark, sf):
 
 WRITE_FASTA = f"SELECT lang AS species, count(*) AS records, CAST(60 AS BIGINT) AS longest, CAST(sum(length({_SEQUENCE})) AS BIGINT) AS letters FROM documents GROUP BY lang"
 
+
+
+def _odd_fasta(spark, sf) -> str:
+    """FASTA of all documents, in which each 97th record has no identifier and identifiers repeat."""
+    docs = B.table(spark, sf, "documents")
+    path = shared_folder(spark)
+    name = F.when(F.col("doc_id") % 97 == 0, "").otherwise(F.concat(S("D"), (F.col("doc_id") % 50).cast("string")))
+    species = F.when(F.col("doc_id") % 97 == 0, F.col("lang")).otherwise(F.concat("lang", S("_"), "source"))
+    W.write_fasta(docs.select(species.alias("species"), F.concat(name, S(" of "), "lang").alias("header"), F.regexp_replace("text", "[^A-Za-z]", "").alias("sequence")), path)
+    return path
+
+
+_RECORDS = """records AS (SELECT CASE WHEN doc_id % 97 = 0 THEN lang ELSE concat(lang, '_', source) END AS file, CASE WHEN doc_id % 97 = 0 THEN '' ELSE concat('D', doc_id % 50) END AS seq_id FROM documents),
+quality AS (SELECT file, count(*) AS records, count(*) FILTER (WHERE seq_id = '') AS empty_ids, count(DISTINCT seq_id) AS distinct_ids, count(*) FILTER (WHERE seq_id = '') = 0 AS valid FROM records GROUP BY file),
+twice AS (SELECT file, seq_id, count(*) AS n FROM records WHERE seq_id <> '' GROUP BY file, seq_id HAVING count(*) > 1)"""
+
+
+def _records(spark, sf) -> DataFrame:
+    return R.read_fasta(spark, _odd_fasta(spark, sf), "*.txt").select(F.col("species").alias("file"), "seq_id")
+
+
+def fasta_quality(spark, sf):
+    return catalog.fasta_quality(_records(spark, sf))
+
+
+def fasta_duplicates(spark, sf):
+    return catalog.duplicate_ids(_records(spark, sf))
+
+
+def fasta_verdict(spark, sf):
+    return catalog.fasta_verdict(_records(spark, sf))
+
+
+VERDICT = f"WITH {_RECORDS} SELECT count(*) AS files, count(*) FILTER (WHERE NOT valid) AS unfit, count(*) FILTER (WHERE file IN (SELECT file FROM twice)) AS with_duplicates, bool_and(valid) AS all_valid FROM quality"
+
+
+def species_from_files(spark, sf):
+    """Species of the files that hold all documents, by their folders."""
+    return R.species_from_files(spark, _odd_fasta(spark, sf), "*.txt")
+
+
 # -- hit reports
 
 
@@ -91,7 +132,7 @@ QUARANTINED = "SELECT n_name AS species, '5 fields' AS reason FROM lineitem JOIN
 
 
 def _report(spark, sf) -> DataFrame:
-    """species, place and text of the parts of one report for each nation."""
+    """species, file (0 or 1), place and text of the parts of two reports for each nation, which differ in the version of their program."""
     t = {n: B.table(spark, sf, n) for n in ("lineitem", "orders", "customer", "nation")}
     text = lambda c: F.col(c).cast("string")
     query = F.concat(S("Q"), text("o_orderkey"))
@@ -105,16 +146,21 @@ def _report(spark, sf) -> DataFrame:
     orders = orders.join(tables, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     head = F.concat_ws("\t", S("QUERY"), query, S("Peptide"), text("o_custkey"), F.concat(S("NC_"), text("o_custkey"), S(".1:"), text("o_orderkey"), S("-9|tag:AB12CD")))
     block = F.when(F.col("rows").isNotNull(), F.concat(S("DOMAINS\n"), "rows", S("\nENDDOMAINS\nSITES\nskipped\nENDSITES\n"))).otherwise("")
-    parts = orders.select(F.col("n_name").alias("species"), F.col("o_orderkey").alias("place"), F.concat(head, S("\n"), block, S("ENDQUERY")).alias("value"))
-    start = t["nation"].select(F.col("n_name").alias("species"), S(-1).cast("long").alias("place"), S("preface\nQUERY\tbefore\tdata\nDATA\nSESSION\t1\tRPSBLAST\t2.14\tcdd\tBLOSUM62\t0.01").alias("value"))
+    parts = orders.select(F.col("n_name").alias("species"), (F.col("o_orderkey") % 2).cast("int").alias("file"), F.col("o_orderkey").alias("place"), F.concat(head, S("\n"), block, S("ENDQUERY")).alias("value"))
+    session = F.concat(S("preface\nQUERY\tbefore\tdata\nDATA\nSESSION\t1\tRPSBLAST\t2."), F.col("file").cast("string"), S("\tcdd\tBLOSUM62\t0.01"))
+    start = t["nation"].select(F.col("n_name").alias("species"), F.explode(F.array(S(0), S(1))).alias("file")).select("species", "file", S(-1).cast("long").alias("place"), session.alias("value"))
     return start.unionByName(parts)
 
 
 def _report_files(spark, sf) -> str:
-    return _text(_report(spark, sf).repartition("species").sortWithinPartitions("species", "place"), spark)
+    path = shared_folder(spark)
+    for file in (0, 1):  # a write puts the rows of a species into one file
+        part = _report(spark, sf).where(F.col("file") == file).repartition("species").sortWithinPartitions("species", "place")
+        part.select("species", "value").write.mode("append").partitionBy("species").text(path)
+    return path
 
 
-_CONTEXT = """'1' AS session_ordinal, 'RPSBLAST' AS program, '2.14' AS version, 'cdd' AS database, 'BLOSUM62' AS score_matrix, '0.01' AS evalue_threshold, concat('Q', o_orderkey) AS query_id,
+_CONTEXT = """'1' AS session_ordinal, 'RPSBLAST' AS program, concat('2.', o_orderkey % 2) AS version, 'cdd' AS database, 'BLOSUM62' AS score_matrix, '0.01' AS evalue_threshold, concat('Q', o_orderkey) AS query_id,
     'Peptide' AS seq_type, CAST(o_custkey AS VARCHAR) AS seq_length, concat('NC_', o_custkey, '.1:', o_orderkey, '-9|tag:AB12CD') AS definition, concat('NC_', o_custkey, '.1') AS chromosome,
     CAST(o_orderkey AS VARCHAR) AS "start", '9' AS "end\""""
 _BLANKS = ("hit_type", "pssm_id", '"from"', '"to"', "evalue", "bitscore", "accession", "domain", "incomplete", "superfamily_pssm_id")
@@ -134,12 +180,25 @@ def queries_without_domains(spark, sf):
     return read_domain_report(spark, sf).where("domain = ''")
 
 
-def ingest_increment(spark, sf):
-    """Reports taken in by two runs of the stream, the second with nothing new."""
-    reports, table, checkpoint = _report_files(spark, sf), shared_folder(spark), shared_folder(spark)
+def _intake(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Domains and unusable lines of reports taken in by two runs of the stream, the second with nothing new."""
+    reports, table, odd, checkpoint = _report_files(spark, sf), shared_folder(spark), shared_folder(spark), shared_folder(spark)
     for _ in range(2):
-        ingest(spark, reports, table, checkpoint)
-    return spark.read.parquet(table).drop("batch")
+        ingest(spark, reports, table, checkpoint, odd)
+    return spark.read.parquet(table).drop("batch"), spark.read.parquet(odd).drop("batch")
+
+
+def ingest_increment(spark, sf):
+    return _intake(spark, sf)[0]
+
+
+def ingest_quarantine(spark, sf):
+    return _intake(spark, sf)[1]
+
+
+INGEST_QUARANTINE = """SELECT n_name AS species, '11 fields' AS reason, concat_ws(chr(9), '1', concat('Q', l_orderkey), 'Specific', l_partkey, l_linenumber, CAST(l_quantity AS BIGINT), '1e-05', l_suppkey,
+        concat('cd', l_partkey), concat('dom', l_suppkey % 50), CASE l_returnflag WHEN 'A' THEN '-' WHEN 'R' THEN 'N' ELSE 'NC' END) AS value
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE l_linenumber = 7"""
 
 
 # -- tables
@@ -167,11 +226,10 @@ def split_by_species(spark, sf):
 
 
 def union_species(spark, sf):
-    """All species' folders, read as one table by their paths."""
+    """The tables of all listed species as one, where some species have no folder, as their runs gave nothing."""
     path = shared_folder(spark)
-    W.write_parquet(_cells(spark, sf), path)
-    names = [r.species for r in spark.read.parquet(path).select("species").distinct().collect()]
-    return spark.read.option("basePath", path).parquet(*[f"{path}/species={n}" for n in sorted(names)])
+    W.write_parquet(_cells(spark, sf).where(~F.col("species").startswith("U")), path)
+    return R.union_species(spark, path, B.table(spark, sf, "nation").selectExpr("n_name AS species"))
 
 
 def write_csv(spark, sf):
@@ -223,7 +281,7 @@ PROVENANCE = "SELECT CAST(o_custkey AS VARCHAR) AS query, concat('GCF_', o_order
 
 def species_present(spark, sf):
     path = shared_folder(spark)
-    W.write_csv(_cells(spark, sf).where("bitscore > 98"), path)
+    W.write_csv(_cells(spark, sf), path)
     return R.species_present(spark, path, B.table(spark, sf, "nation").selectExpr("n_name AS species"))
 
 
@@ -234,13 +292,27 @@ def species_list(spark, sf):
     return R.species_from_lines(spark, path)
 
 
-def scan_assembly_json(spark, sf):
-    grouped = B.table(spark, sf, "orders").groupBy("o_custkey").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "o_orderpriority"))).alias("rs"))
+def _summaries(spark, sf) -> DataFrame:
+    """taxon and the JSON summary of the orders of a nation's customers, as reports in the order of their keys."""
+    rows = B.table(spark, sf, "orders").join(B.table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(B.table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    grouped = rows.groupBy(F.col("n_name").alias("taxon")).agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "o_orderpriority"))).alias("rs"))
     reports = F.transform("rs", lambda r: F.struct(F.concat(S("GCF_"), r["o_orderkey"].cast("string")).alias("accession"), F.struct(r["o_orderpriority"].alias("assembly_level")).alias("assembly_info")))
-    return R.parse_assembly_json(grouped.select(F.col("o_custkey").alias("taxon"), F.to_json(F.struct(reports.alias("reports"))).alias("json")))
+    return grouped.select("taxon", F.to_json(F.struct(reports.alias("reports"))).alias("json"))
+
+
+def scan_assembly_json(spark, sf):
+    return R.parse_assembly_json(_summaries(spark, sf))
+
+
+def read_assembly_json(spark, sf):
+    """The same summaries, each written to a file of its own."""
+    path = shared_folder(spark)
+    _summaries(spark, sf).select("taxon", F.col("json").alias("value")).write.partitionBy("taxon").text(path)
+    return R.read_assembly_json(spark, path)
 
 
-ASSEMBLIES = """SELECT o_custkey AS taxon, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS INT) AS report_index, concat('GCF_', o_orderkey) AS accession, o_orderpriority AS level FROM orders"""
+ASSEMBLIES = """SELECT n_name AS taxon, CAST(row_number() OVER (PARTITION BY n_name ORDER BY o_orderkey) - 1 AS INT) AS report_index, concat('GCF_', o_orderkey) AS accession, o_orderpriority AS level
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
 
 ALL = [
     (read_fasta, READ_FASTA),
@@ -251,15 +323,21 @@ ALL = [
     (read_domain_report, REPORT),
     (queries_without_domains, EMPTY_QUERIES),
     (ingest_increment, REPORT),
+    (ingest_quarantine, INGEST_QUARANTINE),
+    (fasta_quality, f"WITH {_RECORDS} SELECT * FROM quality"),
+    (fasta_duplicates, f"WITH {_RECORDS} SELECT * FROM twice"),
+    (fasta_verdict, VERDICT),
+    (species_from_files, f"WITH {_RECORDS} SELECT DISTINCT file AS species FROM records"),
     (write_parquet, CELLS),
     (split_by_species, f"WITH {B.HITS} SELECT species, count(*) AS rows, count(*) AS in_folder FROM hits GROUP BY species"),
-    (union_species, CELLS),
+    (union_species, CELLS + " WHERE species NOT LIKE 'U%'"),
     (write_csv, CELLS),
     (write_tsv, WRITE_TSV),
     (write_csv2, CSV2),
     (write_gff3, GFF3),
     (append_provenance, PROVENANCE),
-    (species_present, f"WITH {B.HITS} SELECT DISTINCT species FROM hits WHERE bitscore > 98"),
+    (species_present, f"WITH {B.HITS} SELECT DISTINCT species FROM hits"),
     (species_list, "SELECT n_name AS species FROM nation"),
     (scan_assembly_json, ASSEMBLIES),
+    (read_assembly_json, ASSEMBLIES),
 ]

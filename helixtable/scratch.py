@@ -8,17 +8,31 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder name under spark.checkpoint.dir; where the session sets none (tests), under a temporary folder."""
+def _base(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    return base
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder name under spark.checkpoint.dir; where a local session sets none (tests), under a temporary folder."""
+    return f"{_base(spark).rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """df written once to a shared folder and read from there, for small summaries that a report uses several times."""
+    """df written once to a shared folder and read from there; its size is known to the optimizer then."""
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint of df, for small summaries that a report uses several times; Spark's cleaner removes it where it is told to."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(_base(spark))
+    return df.checkpoint(eager=True)

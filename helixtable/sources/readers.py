@@ -59,16 +59,16 @@ def read_rps_tab(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def parse_report_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of `domains` from lines(species, block, id, value) of domain reports, and the lines that could not be used.
+    """Rows of `domains` from lines(species, file, block, id, value) of domain reports, and the lines that could not be used.
 
-    Lines carry the session and the query above them. Context is carried inside a block (a file split) by a window over
-    the block, and between blocks by a window over one row for each block, so that no task needs a whole large file.
+    Lines carry the session and the query above them in their file. Context is carried inside a block (a file split) by a window
+    over the block, and between blocks by a window over one row for each block of the file, so that no task needs a whole large file.
     A DOMAINS line opens a table only as the very next line of a QUERY; a query without one gives a row without a domain,
     an empty table gives none.
     """
-    keys = ["species", "block"]
+    keys = ["species", "file", "block"]
     inside = Window.partitionBy(*keys).orderBy("id")
-    over_blocks = Window.partitionBy("species").orderBy("block")
+    over_blocks = Window.partitionBy("species", "file").orderBy("block")
     earlier = over_blocks.rowsBetween(Window.unboundedPreceding, -1)
     df = lines.select(*keys, "id", F.regexp_replace("value", r"^\s+|\s+$", "").alias("line"))
 
@@ -124,11 +124,16 @@ def parse_report_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, df.where(short).select("species", F.col("line").alias("value"), F.concat(F.size("p").cast("string"), F.lit(" fields")).alias("reason"))
 
 
-def read_domain_report(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Domains of block-text reports, one file for each species, and the lines that could not be used."""
-    raw = spark.read.text(path)
+def read_domain_report(spark: SparkSession, path: str | list[str], base: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Domains of block-text reports, any number of files for each species, and the lines that could not be used.
+
+    base: the folder above species=... folders, where path names files below it.
+    """
+    reader = spark.read.option("basePath", base) if base else spark.read
+    raw = reader.text(path)
+    meta = F.col("_metadata")
     raw = raw.select(
-        species_of(raw, C.file_stem(F.col("_metadata.file_name"))).alias("species"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), "value"
+        species_of(raw, C.file_stem(meta["file_name"])).alias("species"), meta["file_path"].alias("file"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("id"), "value"
     )
     return parse_report_lines(raw)
 
@@ -141,9 +146,10 @@ def parse_assembly_json(summaries: DataFrame) -> DataFrame:
 
 
 def read_assembly_json(spark: SparkSession, path: str) -> DataFrame:
-    """The reports of JSON summaries, one document in each file; the taxon is the file's stem."""
+    """The reports of JSON summaries, one document in each file; the taxon is the folder's taxon=... where there is one, else the file's stem."""
     whole = spark.read.text(path, wholetext=True)
-    return parse_assembly_json(whole.select(C.file_stem(F.col("_metadata.file_name")).alias("taxon"), F.col("value").alias("json")))
+    taxon = F.col("taxon") if "taxon" in whole.columns else C.file_stem(F.col("_metadata.file_name"))
+    return parse_assembly_json(whole.select(taxon.alias("taxon"), F.col("value").alias("json")))
 
 
 def species_from_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -151,10 +157,19 @@ def species_from_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).where("length(value) > 0").select(F.col("value").alias("species"))
 
 
-def species_from_files(spark: SparkSession, path: str) -> DataFrame:
-    """Names of the FASTA files of a folder; contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", FASTA_FILES).load(path).select("path")
-    return files.select(C.species_from_file(F.element_at(F.split("path", "/"), -1)).alias("species"))
+def species_from_files(spark: SparkSession, path: str, files: str = FASTA_FILES) -> DataFrame:
+    """Names of the FASTA files of a folder, by the folder's species=... or the file's name; contents are not read."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", files).load(path)
+    name = C.species_from_file(F.element_at(F.split("path", "/"), -1))
+    return found.select(species_of(found, name).alias("species")).distinct()
+
+
+def union_species(spark: SparkSession, path: str, names: DataFrame) -> DataFrame:
+    """The rows of the listed species in a table written by species; a species without a folder (failed, or without hits) has none.
+
+    The list prunes the folders that are read, so that others cost nothing.
+    """
+    return spark.read.parquet(path).join(F.broadcast(names.select("species").distinct()), "species", "left_semi")
 
 
 def species_present(spark: SparkSession, path: str, default: DataFrame) -> DataFrame:

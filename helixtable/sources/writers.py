@@ -2,50 +2,71 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixtable.schemas import DOMAIN_FIELDS
 
 
+def _unless_empty(df: DataFrame, path: str, mode: str, written: DataFrame | None = None) -> bool:
+    """Whether a written table has rows; one without is taken away again, so that df is computed once only.
+
+    Nothing is taken away after an append, as the rows that were there before are not known.
+    """
+    spark = df.sparkSession
+    try:
+        empty = (spark.read.parquet(path) if written is None else written).isEmpty()
+    except AnalysisException as e:  # a table in folders without any folder has no schema
+        if e.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+            raise
+        empty = True
+    if empty and mode != "append":
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return not empty
+
+
 def write_parquet(df: DataFrame, path: str, by: str | None = "species", mode: str = "errorifexists") -> bool:
-    """df as Parquet, in folders by species; nothing for an empty table. Whether it wrote."""
-    if df.isEmpty():
-        return False
+    """df as Parquet, in folders by species; nothing for an empty table. Whether it wrote, as for all writers of tables."""
     w = df.write.mode(mode)
     (w.partitionBy(by) if by else w).parquet(path)
-    return True
+    return _unless_empty(df, path, mode)
+
+
+def _write_delimited(df: DataFrame, path: str, mode: str, sep: str) -> bool:
+    df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
+    lines = ", ".join(f"`{c}` string" for c in df.columns)
+    return _unless_empty(df, path, mode, df.sparkSession.read.schema(lines).option("sep", sep).csv(path, header=True))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> bool:
-    if df.isEmpty():
-        return False
-    df.write.mode(mode).option("header", True).csv(path)
-    return True
+    return _write_delimited(df, path, mode, ",")
 
 
-def write_tsv(domains: DataFrame, path: str, fields: list[str] = DOMAIN_FIELDS, mode: str = "errorifexists") -> None:
+def write_tsv(domains: DataFrame, path: str, fields: list[str] = DOMAIN_FIELDS, mode: str = "errorifexists") -> bool:
     """Tab-separated with a header, in the order of fields."""
-    domains.select(fields).write.mode(mode).option("header", True).option("sep", "\t").csv(path)
+    return _write_delimited(domains.select(fields), path, mode, "\t")
 
 
 def decimal_commas(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.translate(F.col(c).cast("string"), ".", ",") for c, t in df.dtypes if t in ("double", "float") or t.startswith("decimal")})
 
 
-def write_csv2(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_csv2(df: DataFrame, path: str, mode: str = "errorifexists") -> bool:
     """Semicolons between fields and commas in decimals."""
-    decimal_commas(df).write.mode(mode).option("header", True).option("sep", ";").csv(path)
+    return _write_delimited(decimal_commas(df), path, mode, ";")
 
 
 def wrapped(sequence: Column, width: int = 60) -> Column:
     return F.regexp_replace(sequence, f"(.{{{width}}})(?=.)", "$1\n")
 
 
-def write_fasta(records: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_fasta(records: DataFrame, path: str, mode: str = "errorifexists") -> bool:
     """records(species, header, sequence) as FASTA in a folder for each species, lines of 60 letters."""
     text = F.concat(F.lit(">"), "header", F.lit("\n"), wrapped(F.col("sequence")))
     records.select("species", text.alias("value")).write.mode(mode).partitionBy("species").text(path)
+    return _unless_empty(records, path, mode, records.sparkSession.read.text(path))
 
 
 def escaped(value: Column) -> Column:
@@ -63,12 +84,17 @@ def gff3_lines(ranges: DataFrame, source: str = "helixtable") -> DataFrame:
     return ranges.select("species", F.col("chromosome").alias("_c"), F.col("start").alias("_s"), F.concat_ws("\t", *fields).alias("value"))
 
 
-def write_gff3(ranges: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One file for each species, the version line first and ranges in order."""
+def write_gff3(ranges: DataFrame, path: str, mode: str = "errorifexists") -> bool:
+    """A folder for each species, the version line first and ranges in order.
+
+    Rows are dealt by ranges of species and place, so a large species is written by many tasks: its files, in the order of their
+    names, are one GFF3 file, and the first of them has the version line. A small species is one file.
+    """
     lines = gff3_lines(ranges)
     heads = ranges.select("species").distinct().select("species", F.lit(None).cast("string").alias("_c"), F.lit(None).cast("long").alias("_s"), F.lit("##gff-version 3").alias("value"))
-    both = heads.unionByName(lines).repartition("species").sortWithinPartitions("species", "_c", "_s", "value")
+    both = heads.unionByName(lines).repartitionByRange("species", "_c", "_s", "value").sortWithinPartitions("species", "_c", "_s", "value")
     both.select("species", "value").write.mode(mode).partitionBy("species").text(path)
+    return _unless_empty(ranges, path, mode, ranges.sparkSession.read.text(path))
 
 
 def append_provenance(df: DataFrame, path: str) -> None:
