@@ -8,8 +8,8 @@ runs on the driver over a summary of bounded size: the order is cut into ranges
 which a cut can still fall are split further, until those hold single groups. About the same number of ranges is live
 at each level whatever the size of the corpus.
 
-Defined results: a null text counts as no bytes and all null texts form one group; a group larger than an even share
-gets a shard that is as large as needed; an empty table gives an empty table; equal rows get different slots; further
+Defined results: a null text counts as no bytes; all null texts form one group and all empty ones another; a group larger than an
+even share gets a shard that is as large as needed, and the other shards share the rest about equally; an empty table gives an empty table; equal rows get different slots; further
 columns are left out by assign() and kept by shard_documents(), where results replace columns of the same name.
 """
 
@@ -94,6 +94,29 @@ def minimax_cuts(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
         parts = sorted([p for i, p in enumerate(parts) if i not in live] + split)
 
 
+def balanced_cuts(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
+    """minimax_cuts(), with the shards beside an oversized group near equal too.
+
+    A group larger than an even share sets the capacity alone, and greedy filling would load all other shards up to it. The
+    groups before and after it are then cut by the same search over the other shards, divided by bytes, if that does not
+    raise the capacity.
+    """
+    capacity, cuts = minimax_cuts(groups, shards)
+    total, largest, h = groups.agg(F.sum("bytes"), F.max("bytes"), F.max_by("h", F.struct("bytes", "h"))).first()
+    if not cuts or capacity != largest or largest * shards <= total:
+        return capacity, cuts
+    before, after = groups.where(F.col("h") < h), groups.where(F.col("h") > h)
+    b1 = before.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    b2 = total - largest - b1
+    least, most = int(b1 > 0), shards - 1 - int(b2 > 0)
+    if least > most or b1 + b2 == 0:
+        return capacity, cuts
+    mine = max(least, min(most, round((shards - 1) * b1 / (b1 + b2))))
+    c1, k1 = balanced_cuts(before, mine) if b1 else (0, [])
+    c2, k2 = balanced_cuts(after, shards - 1 - mine) if b2 else (0, [])
+    return (capacity, [*k1, h, *k2]) if max(c1, c2) <= capacity else (capacity, cuts)
+
+
 def assign(docs: DataFrame, shards: int = 24) -> DataFrame:
     """doc_id, size (UTF-8 bytes plus 8), text_crc32, law, shard, slot, grown_shard (null: the law is bytes).
 
@@ -111,7 +134,7 @@ def assign(docs: DataFrame, shards: int = 24) -> DataFrame:
         )
     )
     groups = settled(rows.groupBy("h").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")))
-    _, cuts = minimax_cuts(groups, shards)
+    _, cuts = balanced_cuts(groups, shards)
     n = groups.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     blocks = max(1, -(-n // (shards * ROWS_PER_SLOT_BLOCK)))
     shard = sum(((F.col("h") >= F.lit(c)).cast("int") for c in cuts[1:]), F.lit(0))
@@ -130,5 +153,5 @@ def assign(docs: DataFrame, shards: int = 24) -> DataFrame:
 def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
     """docs with the column shard, e.g. for write.partitionBy('shard'); rows are not shuffled."""
     rows = docs.select(F.xxhash64("text").alias("h"), (F.octet_length(F.coalesce("text", F.lit(""))) + 8).alias("size"))
-    _, cuts = minimax_cuts(settled(rows.groupBy("h").agg(F.sum("size").cast("long").alias("bytes"))), shards)
+    _, cuts = balanced_cuts(settled(rows.groupBy("h").agg(F.sum("size").cast("long").alias("bytes"))), shards)
     return docs.withColumn("shard", sum(((F.xxhash64("text") >= F.lit(c)).cast("int") for c in cuts[1:]), F.lit(0)).cast("int"))
