@@ -10,7 +10,8 @@ anti-join, so a common conversation or first turn is one row there. A rendered c
 one row.
 
 Defined results: rows repeated within a conversation count once; turns of one number are ordered by role and text, nulls
-first; a null role is written as "unknown", a null text as empty, and both differ from those words; rows with a null
+first; a null role is written as "unknown", a null text as empty, and both differ from those words; the marks of turns inside roles
+and texts get a space, line ends in roles become spaces; rows with a null
 conv_id form one conversation; an empty table gives an empty table; further columns are left out.
 """
 
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from helixtable.llm.common import settled
+from helixtable.llm.common import stash
 
 BLOCK = 256
 
@@ -31,7 +32,6 @@ def prefix_hashes(conversations: DataFrame) -> DataFrame:
     rows = conversations.select("conv_id", "turn", F.xxhash64(F.lit(1), *row).alias("h1"), F.xxhash64(F.lit(2), *row).alias("h2")).distinct()
     sums = [F.count(F.lit(1)).alias("k"), F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2")]
     turns = rows.groupBy("conv_id", "turn").agg(*sums).withColumn("block", F.floor(F.coalesce("turn", F.lit(-1)) / BLOCK))
-    turns = settled(turns)
     blocks = turns.groupBy("conv_id", "block").agg(F.sum("k").alias("k"), F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2"), F.max("turn").alias("end"))
     before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
@@ -49,43 +49,52 @@ def prefix_hashes(conversations: DataFrame) -> DataFrame:
 
 def maximal(conversations: DataFrame) -> DataFrame:
     """conv_id, n_turns and n_copies of the conversations that are no proper prefix of another, one of each kind."""
-    hashes = settled(prefix_hashes(conversations))
+    hashes = stash(prefix_hashes(conversations))
     kinds = hashes.where("last").groupBy("p1", "p2").agg(F.min("conv_id").alias("conv_id"), F.max("n").alias("n_turns"), F.count(F.lit(1)).alias("n_copies"))
     inner = hashes.where("not last").select("p1", "p2").distinct()
     return kinds.join(inner, ["p1", "p2"], "left_anti").select("conv_id", "n_turns", "n_copies")
 
 
+def plain(value: Column) -> Column:
+    """A role or text without the marks of turns: a space goes into them, so that no text can pose as a turn."""
+    return F.replace(value, F.lit("<|im_"), F.lit("<| im_"))
+
+
 def rendered(turns: Column) -> Column:
     """An array of (turn, role, text) as one text."""
-    one = lambda t: F.concat(F.lit("<|im_start|>"), F.coalesce(t["role"], F.lit("unknown")), F.lit("\n"), F.coalesce(t["text"], F.lit("")), F.lit("<|im_end|>\n"))
+    role = lambda t: F.replace(plain(F.coalesce(t["role"], F.lit("unknown"))), F.lit("\n"), F.lit(" "))
+    one = lambda t: F.concat(F.lit("<|im_start|>"), role(t), F.lit("\n"), plain(F.coalesce(t["text"], F.lit(""))), F.lit("<|im_end|>\n"))
     return F.array_join(F.transform(turns, one), "")
 
 
 def format_chats(conversations: DataFrame) -> DataFrame:
-    """conv_id, n_turns, n_copies and the rendered text of each maximal conversation."""
-    kept = maximal(conversations)
-    c = conversations.select("conv_id", F.struct("turn", "role", "text").alias("t"))
-    turns = c.join(kept.alias("k"), c.conv_id.eqNullSafe(F.col("k.conv_id"))).select("k.*", "t")
-    grouped = turns.groupBy("conv_id", "n_turns", "n_copies").agg(F.sort_array(F.collect_set("t")).alias("turns"))
-    return grouped.select("conv_id", "n_turns", "n_copies", rendered(F.col("turns")).alias("text"))
+    """conv_id, n_turns, n_copies and the rendered text of each maximal conversation.
 
+    The identifier goes into a struct, which is equal to another also where it holds a null: the join and the grouping have
+    one key then, and texts are shuffled once.
+    """
+    key = F.struct("conv_id")
+    kept = maximal(conversations).select(key.alias("k"), "n_turns", "n_copies")
+    turns = conversations.select(key.alias("k"), F.struct("turn", "role", "text").alias("t")).join(kept, "k")
+    grouped = turns.groupBy("k").agg(F.sort_array(F.collect_set("t")).alias("turns"), F.first("n_turns").alias("n_turns"), F.first("n_copies").alias("n_copies"))
+    return grouped.select("k.conv_id", "n_turns", "n_copies", rendered(F.col("turns")).alias("text"))
 
-#: DuckDB SQL for format_chats over the table conversations; prefixes are compared as strings here.
+
+#: DuckDB SQL for format_chats over the table conversations; prefixes are compared as strings of hashes here, a null's being empty.
 SQL = """
 WITH rows AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
-turns AS (
-    SELECT conv_id, turn, count(*) AS k, string_agg(concat(turn, chr(30), role, chr(31), text), chr(29) ORDER BY role, text) AS t
-    FROM rows GROUP BY conv_id, turn
-),
+marked AS (SELECT *, concat(turn, ':', md5('V' || role), ':', md5('V' || text)) AS m FROM rows),
+turns AS (SELECT conv_id, turn, count(*) AS k, string_agg(m, ',' ORDER BY m) AS t FROM marked GROUP BY conv_id, turn),
 prefixes AS (
-    SELECT conv_id, md5(string_agg(t, chr(28)) OVER w) AS p, sum(k) OVER w AS n, lead(turn) OVER w IS NULL AS last
-    FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
+    SELECT conv_id, md5(string_agg(t, ';') OVER w) AS p, sum(k) OVER w AS n, lead(k) OVER w IS NULL AS last
+    FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST)
 ),
 kinds AS (
     SELECT p, min(conv_id) AS conv_id, max(n) AS n_turns, count(*) AS n_copies FROM prefixes WHERE last GROUP BY p
 ),
 kept AS (SELECT * FROM kinds WHERE p NOT IN (SELECT p FROM prefixes WHERE NOT last))
-SELECT conv_id, CAST(max(n_turns) AS BIGINT) AS n_turns, max(n_copies) AS n_copies,
-    string_agg(concat('<|im_start|>', coalesce(role, 'unknown'), chr(10), coalesce(text, ''), '<|im_end|>', chr(10)), '' ORDER BY turn, role, text) AS text
-FROM rows JOIN kept USING (conv_id) GROUP BY conv_id
+SELECT rows.conv_id, CAST(max(n_turns) AS BIGINT) AS n_turns, max(n_copies) AS n_copies,
+    string_agg(concat('<|im_start|>', replace(replace(coalesce(role, 'unknown'), '<|im_', '<| im_'), chr(10), ' '), chr(10), replace(coalesce(text, ''), '<|im_', '<| im_'), '<|im_end|>', chr(10)),
+        '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS text
+FROM rows JOIN kept ON rows.conv_id IS NOT DISTINCT FROM kept.conv_id GROUP BY rows.conv_id
 """
