@@ -4,7 +4,7 @@ A text is compressed in chunks with either dictionary. The difference of the com
 dictionary knows the text better; a logistic curve, fitted on labelled rows that went into neither dictionary, makes it a
 probability, with classes weighted as they occur among all labels in use.
 
-Only the text is an input. The fit sees at most per_class rows of each label, with texts of at most sample_bytes bytes: 2 x 1500 x 32 KB
+Only the text is an input. Identifiers that have both labels are not used; of several texts of one identifier, the least is. The fit sees at most per_class rows of each label, with texts of at most sample_bytes bytes: 2 x 1500 x 32 KB
 at most on the driver, whatever the corpus. The model is two dictionaries of at most DICTIONARY bytes and two numbers.
 
 Defined results: null and blank texts score what a size difference of zero scores; texts are scored whole; rows with a null
@@ -23,6 +23,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from helixtable.llm.common import fresh, slices
+
 DICTIONARY, LEVEL, CHUNK = 112_640, 3, 1024
 
 
@@ -90,11 +92,12 @@ def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, sample_bytes: int = 32_768) -> Model:
     """A model from labels(doc_id, quality) that are not held out and the texts of docs(doc_id, text)."""
-    usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "quality").dropDuplicates(["doc_id"])
+    usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    usable = usable.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).where("quality = most").select("doc_id", "quality")
     n = {r.quality: r["count"] for r in usable.groupBy("quality").count().collect()}
     first = lambda q: usable.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
     picks = F.broadcast(first(0).union(first(1)))  # 2 * per_class pairs of numbers
-    texts = docs.select("doc_id", "text").where(F.octet_length("text") <= sample_bytes).join(picks, "doc_id").limit(2 * per_class).collect()
+    texts = docs.select("doc_id", "text").where(F.octet_length("text") <= sample_bytes).join(picks, "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text")).collect()
     by = {q: [r.text for r in sorted(texts, key=lambda r: (r.doc_id, r.text)) if r.quality == q] for q in (0, 1)}
     if not by[0] or not by[1]:
         share = (n.get(1, 0) + 0.0) / (n.get(0, 0) + n.get(1, 0)) if n else 0.5
@@ -115,14 +118,15 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """The columns in keep and score."""
     keep = [c for c in keep if c != "score"]
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    own = fresh(docs, "text_of_row")
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            scores = pa.array(shared.value.scores(b.column("_text").to_pylist()), pa.float64())
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), scores], names=[*keep, "score"])
+            scores = np.concatenate([np.empty(0), *[shared.value.scores(x.column(own).to_pylist()) for x in slices(b, own)]])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(scores, pa.float64())], names=[*keep, "score"])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(part, f"{fields}, score double")
+    return docs.select(*keep, F.col("text").alias(own)).mapInArrow(part, f"{fields}, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, keep: list[str], threshold: float = 0.7) -> DataFrame:
