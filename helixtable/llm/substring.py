@@ -27,7 +27,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import Broadcast
@@ -35,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
-from helixtable.llm.common import stash
+from helixtable.llm.common import fresh, slices, stash
 
 WINDOW, GRAM = 35, 8
 SPAN = WINDOW - GRAM + 1
@@ -79,10 +78,11 @@ def _hashes(words: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     return _mix(h8), _mix(full)
 
 
-def _chunks(texts) -> Iterator[tuple[list[int], list[list[bytes]]]]:
+def _chunks(texts: pa.Array) -> Iterator[tuple[list[int], list[list[bytes]]]]:
     """Row numbers and words of the documents that have a window, about CHUNK_WORDS words at a time."""
     rows, docs, n = [], [], 0
     for i, t in enumerate(texts):
+        t = t.as_py()
         ws = t.encode().split() if t else ()
         if len(ws) < WINDOW:
             continue
@@ -120,10 +120,13 @@ def _counters(grams: np.ndarray, row: int, width_bits: int) -> np.ndarray:
     return (grams * np.uint64(SALTS[row])) >> np.uint64(64 - width_bits)
 
 
-def _sketch(batches: Iterator[pd.DataFrame], width_bits: int) -> Iterator[pd.DataFrame]:
+def _sketch(batches: Iterator[pa.RecordBatch], width_bits: int) -> Iterator[pa.RecordBatch]:
     """One partition's sketch: for each range of counters, the low bits of those it hits, twice for two or more hits."""
     pieces: list[list[np.ndarray]] = [[] for _ in range(ROWS)]
 
+    def table(rows: Iterator[dict]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist(list(rows), pa.schema([("r", pa.int32()), ("part", pa.int32()), ("hits", pa.binary())]))
+
     def packed() -> Iterator[dict]:
         for r in range(ROWS):
             if not pieces[r]:
@@ -139,34 +142,34 @@ def _sketch(batches: Iterator[pd.DataFrame], width_bits: int) -> Iterator[pd.Dat
 
     held = 0
     for b in batches:
-        for _, docs in _chunks(b["text"]):
+        for _, docs in _chunks(b.column("text")):
             c = _Chunk(docs)
             grams = c.grams[np.unique(c.anchor)]
             for r in range(ROWS):
                 pieces[r].append(_counters(grams, r, width_bits))
             held += len(grams)
             if held > 1_000_000:  # a long partition sends its sketch in instalments
-                yield pd.DataFrame(list(packed()))
+                yield table(packed())
                 held = 0
-    if out := list(packed()):
-        yield pd.DataFrame(out)
+    yield table(packed())
 
 
-def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds up sketches that come sorted by range; one bit for each counter of 2 or more."""
     key, total = None, np.zeros(1 << RANGE_BITS, dtype=np.uint8)
 
-    def done() -> pd.DataFrame:
-        return pd.DataFrame([{"r": key[0], "part": key[1], "bits": zlib.compress(np.packbits(total >= 2).tobytes(), 1)}])
+    def done() -> pa.RecordBatch:
+        bits = zlib.compress(np.packbits(total >= 2).tobytes(), 1)
+        return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([bits], pa.binary())], names=["r", "part", "bits"])
 
     for b in batches:
-        for r, p, hits in zip(b["r"], b["part"], b["hits"]):
+        for r, p, hits in zip(b.column("r").to_pylist(), b.column("part").to_pylist(), b.column("hits")):
             if (r, p) != key:
                 if key is not None:
                     yield done()
-                key = (int(r), int(p))
+                key = (r, p)
                 total[:] = 0
-            hit, n = np.unique(np.frombuffer(hits, dtype=np.uint32), return_counts=True)
+            hit, n = np.unique(np.frombuffer(hits.as_py(), dtype=np.uint32), return_counts=True)
             total[hit] = np.minimum(2, total[hit] + n)
     if key is not None:
         yield done()
@@ -175,8 +178,8 @@ def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def merged_sketch(docs: DataFrame, width_bits: int = WIDTH_BITS) -> np.ndarray:
     """Bit maps of counters that reached 2, one for each row of the sketch: ROWS * 2^width_bits bits whatever the corpus."""
     n = ROWS << (width_bits - RANGE_BITS)
-    parts = docs.select("text").mapInPandas(lambda batches: _sketch(batches, width_bits), "r int, part int, hits binary")
-    merged = parts.repartition(n, "r", "part").sortWithinPartitions("r", "part").mapInPandas(_merge, "r int, part int, bits binary")
+    parts = docs.select("text").mapInArrow(lambda batches: _sketch(batches, width_bits), "r int, part int, hits binary")
+    merged = parts.repartition(n, "r", "part").sortWithinPartitions("r", "part").mapInArrow(_merge, "r int, part int, bits binary")
     out = np.zeros((ROWS, 1 << (width_bits - 3)), dtype=np.uint8)
     step = 1 << (RANGE_BITS - 3)
     for row in merged.toLocalIterator():
@@ -196,7 +199,7 @@ def candidate_runs(docs: DataFrame, shared: Broadcast, width_bits: int, hashes:
         for batch in batches:
             rid = batch.column("rid").to_numpy(zero_copy_only=False)
             th = batch.column("th").to_numpy(zero_copy_only=False)
-            for rows, docs in _chunks(batch.column("text").to_pylist()):
+            for rows, docs in _chunks(batch.column("text")):
                 c = _Chunk(docs)
                 maybe = np.ones(len(c.at), dtype=bool)
                 for r in range(ROWS):
@@ -275,16 +278,17 @@ def strip_repeats(docs: DataFrame, width_bits: int = WIDTH_BITS) -> DataFrame:
     new = ["n_words", "n_removed", "kept_text"]
     old = [c for c in docs.columns if c not in new]
     spans = repeated_windows(docs, width_bits)
-    keyed = docs.select(*old, *[c.alias(f"_{n}") for c, n in zip(row_id(), ("rid", "th"))])
-    s = spans.select(F.col("rid").alias("_rid"), F.col("th").alias("_th"), F.col("spans").alias("_spans"))
-    joined = squeezed(keyed).join(s, ["_rid", "_th"], "left").drop("_rid", "_th")
+    rid, th, at = (fresh(docs, f"{n}_of_row") for n in ("rid", "th", "spans"))
+    keyed = docs.select(*old, *[c.alias(n) for c, n in zip(row_id(), (rid, th))])
+    s = spans.select(F.col("rid").alias(rid), F.col("th").alias(th), F.col("spans").alias(at))
+    joined = squeezed(keyed).join(s, [rid, th], "left").drop(rid, th)
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor().decompress
-        for b in batches:
+        for b in (x for batch in batches for x in slices(batch, "text")):
             texts = [expand(z.as_py()) if z.is_valid else None for z in b.column("text")]
             out: list[list] = [[], [], []]
-            for text, found in zip(texts, b.column("_spans")):
+            for text, found in zip(texts, b.column(at)):
                 ws = text.split() if text else []
                 kept = ws
                 if found.is_valid:
