@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixtable.llm.common import settled
+from helixtable.llm.common import fresh, settled
 
 ROOM, END_ID = 1024, 2
 CELL, ISLANDS, EPOCHS, GENERATIONS, PACKINGS = 8192, 2, 2, 6, 4
@@ -72,7 +72,7 @@ def pieces(docs: DataFrame, vocabulary_file: str, keep: list[str], ranks_file: s
     with open(vocabulary_file, encoding="utf-8") as v, open(ranks_file or vocabulary_file, "rb") as r:
         shared = docs.sparkSession.sparkContext.broadcast((v.read(), r.read() if ranks_file else None))  # below 10 MB whatever the corpus
     own = ["piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
-    keep = [c for c in keep if c not in own]
+    keep, name = [c for c in keep if c not in own], fresh(docs, "text_of_row")
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +83,7 @@ def pieces(docs: DataFrame, vocabulary_file: str, keep: list[str], ranks_file: s
         encoder = _ENCODERS.get(hash(raw)) or _ENCODERS.setdefault(hash(raw), Encoder(*raw))
         for b in batches:
             row, out = [], [[] for _ in own]
-            for i, text in enumerate(b.column("_text")):
+            for i, text in enumerate(b.column(name)):
                 ids = encoder.encode(text.as_py() or "") + end
                 n, at, k = len(ids) // 4, 0, 0
                 while at < n:
@@ -100,7 +100,7 @@ def pieces(docs: DataFrame, vocabulary_file: str, keep: list[str], ranks_file: s
             yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(row, pa.int64())) for c in keep), *cols], names=[*keep, *own])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(part, f"{fields}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
+    return docs.select(*keep, F.col("text").alias(name)).mapInArrow(part, f"{fields}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 
 class Packing:
@@ -269,9 +269,11 @@ def place(items: DataFrame) -> DataFrame:
 
 def pack(docs: DataFrame, vocabulary_file: str, carry: list[str], ranks_file: str | None = None) -> DataFrame:
     """The carried columns and piece, start, length, ids_crc32, sequence_id and offset for each piece."""
-    rows = settled(pieces(docs, vocabulary_file, carry, ranks_file)).withColumn("id", F.monotonically_increasing_id())  # stable over a checkpoint
-    carry = [c for c in rows.columns if c != "id"]
+    carry = [c for c in carry if c not in ("sequence_id", "offset")]
+    rows = settled(pieces(docs, vocabulary_file, carry, ranks_file))
+    carry, own = rows.columns, fresh(rows, "item")
+    rows = rows.withColumn(own, F.monotonically_increasing_id())  # stable over a checkpoint
     items = rows.where(F.col("length") < ROOM)
-    full = rows.where(F.col("length") == ROOM).select(*carry, (-1 - F.col("id")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    placed = items.join(place(items.select("id", "length")), "id").select(*carry, "sequence_id", "offset")
-    return full.unionByName(placed)
+    full = rows.where(F.col("length") == ROOM).select(*carry, (-1 - F.col(own)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    placed = place(items.select(F.col(own).alias("id"), "length")).withColumnRenamed("id", own)
+    return full.unionByName(items.join(placed, own).select(*carry, "sequence_id", "offset"))

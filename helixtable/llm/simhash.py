@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
-from helixtable.llm.common import components, settled
+from helixtable.llm.common import components, fresh, settled
 
 SEED, SHINGLE, BITS, HOT = 42, 3, 2, 32
 
@@ -58,13 +58,15 @@ def fingerprint(text: str | None) -> int:
 def with_fingerprints(docs: DataFrame, keep: list[str]) -> DataFrame:
     """The columns in keep and fp (long)."""
 
+    own = fresh(docs, "text_of_row")
+
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = pa.array([fingerprint(t.as_py()) for t in b.column("_text")], pa.int64())
+            fp = pa.array([fingerprint(t.as_py()) for t in b.column(own)], pa.int64())
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), fp], names=[*keep, "fp"])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(part, f"{fields}, fp long")
+    return docs.select(*keep, F.col("text").alias(own)).mapInArrow(part, f"{fields}, fp long")
 
 
 def _ball(value: Column, width: int = 32) -> Column:
@@ -107,7 +109,7 @@ def clusters(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each group, with the columns of docs: the one with the smallest doc_id (nulls last, then by text hash)."""
-    key = docs.select("*", F.coalesce("doc_id", F.xxhash64("text")).alias("_k"), F.col("doc_id").isNull().alias("_null"), F.xxhash64("text").alias("_hash"))
-    name = ["_null", "_k", "_hash"]  # a doc_id may stand for several texts
-    best = clusters(key, name).groupBy("component").agg(F.min(F.struct(*name)).alias("b")).select("b.*")
-    return key.join(best, name, "left_semi").dropDuplicates(name).select(docs.columns)
+    own = fresh(docs, "simhash_name")  # a doc_id may stand for several texts
+    key = docs.withColumn(own, F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.xxhash64("text")).alias("k"), F.xxhash64("text").alias("hash")))
+    best = clusters(key, [own]).groupBy("component").agg(F.min(own).alias(own)).select(own)
+    return key.join(best, own, "left_semi").dropDuplicates([own]).select(docs.columns)

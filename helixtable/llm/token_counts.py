@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from helixtable.llm.common import fresh
+
 MARK = "▁"
 CACHE_WORDS, CACHE_PAIRS, CHUNK_CHARS = 800_000, 800_000, 2_000_000
 
@@ -171,7 +173,7 @@ _COUNTERS: dict[int, PrefixCounter] = {}
 
 def prefix_table(docs: DataFrame, model_file: str, keep: list[str]) -> DataFrame:
     """The columns in keep and prefix_counts (array<int>): at i, the tokens of the text's first i characters, from 1 on."""
-    keep = [c for c in keep if c != "prefix_counts"]
+    keep, own = [c for c in keep if c != "prefix_counts"], fresh(docs, "text_of_row")
     with open(model_file, "rb") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary file: below 10 MB whatever the corpus
 
@@ -181,7 +183,7 @@ def prefix_table(docs: DataFrame, model_file: str, keep: list[str]) -> DataFrame
         _COUNTERS[hash(raw)] = counter
         for b in batches:
             tables, held, first = [], 0, 0
-            texts = b.column("_text")
+            texts = b.column(own)
             for i in range(b.num_rows):
                 tables.append(counter.counts(texts[i].as_py() or ""))
                 held += len(tables[-1])
@@ -192,7 +194,7 @@ def prefix_table(docs: DataFrame, model_file: str, keep: list[str]) -> DataFrame
                     tables, held, first = [], 0, i + 1
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(part, f"{fields}, prefix_counts array<int>")
+    return docs.select(*keep, F.col("text").alias(own)).mapInArrow(part, f"{fields}, prefix_counts array<int>")
 
 
 def tokens_of_prefix(counts: Column, chars: Column | int) -> Column:
