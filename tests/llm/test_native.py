@@ -40,6 +40,36 @@ def test_verdict_does_not_depend_on_order(docs):
     assert sorted(r.doc_id for r in quality_rules.keep_good(docs).collect()) == sorted(r.doc_id for r in one.collect())
 
 
+def verdict(text):
+    """default_rules() and the base rule, rule by rule."""
+    import re
+
+    n, chars, symbols, dups, _, failed = features(text)
+    w, lines = words(text), [x for x in (text or "").split("\n") if words(x)]
+    capitals = [x for x in w if re.search(r"[^\W\d_]{2}", x) and x.upper() == x and any(a.isupper() and b.isupper() for a, b in zip(x, x[1:]))]
+    rejects = [symbols * 10 > n, dups * 10 > len(lines) * 3, chars < 3 * n or chars > 10 * n, sum(any(c.isalpha() for c in x) for x in w) * 10 < n * 8, len(capitals) * 10 > n * 3, len(re.findall("[!?]{2,}", text or "")) * 10 > n]
+    return not (failed or any(rejects))
+
+
+@pytest.mark.parametrize("which", ["odd", "docs"])
+def test_verdicts_against_brute_force(which, request):
+    df = request.getfixturevalue(which)
+    rows = quality_rules.cascade(df).select("text", "kept").collect()
+    assert all(r.kept == verdict(r.text) for r in rows)
+    assert sum(r.kept for r in rows) == quality_rules.keep_good(df).count()
+
+
+def test_order_follows_cost_and_rejections(docs):
+    """A costly rule goes behind a cheap one that rejects as much, and a rule that rejects more goes before one of the same cost."""
+    slow = F.sha2(F.repeat(F.sha2("text", 256), 4000), 512) > "0"
+    cheap, costly = quality_rules.Rule("cheap", F.octet_length("text") % 2 == 0), quality_rules.Rule("costly", slow & (F.octet_length("text") % 2 == 0))
+    none = quality_rules.Rule("none", F.octet_length("text") < 0)
+    ordered = [r.name for r in quality_rules.order_rules(docs, [costly, none, cheap])]
+    assert ordered.index("cheap") < ordered.index("costly")
+    estimates, _ = quality_rules.estimate_rules(quality_rules.sample_of(docs), [costly, none, cheap])
+    assert estimates[0].seconds > 3 * estimates[2].seconds and estimates[1].rejects == 0 < estimates[2].rejects
+
+
 def test_rules_keep_clean_and_reject_junk(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id")
     rows = quality_rules.cascade(docs).where("n_words >= 50").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()
@@ -84,6 +114,16 @@ def test_sharding(which, shards, request):
     assert max(load.values()) == best_capacity([r.b for r in order.collect()], shards)
 
 
+def test_shards_beside_an_oversized_group(spark):
+    """A text with a third of the bytes has a shard of its own; the others are near equal and none is empty."""
+    df = spark.range(6000).selectExpr("id as doc_id", "if(id < 2000, 'hot hot hot', concat('t', lpad(cast(id as string), 10, '0'))) as text").repartition(4)
+    load = Counter()
+    for r in sharding.assign(df, 24).collect():
+        load[r.shard] += r.size
+    others = sorted(load.values())[:-1]
+    assert len(load) == 24 and max(load.values()) == 2000 * 19 and max(others) <= 1.1 * min(others)
+
+
 def test_sharding_refines_ranges(spark):
     groups = spark.range(30_000).select(F.xxhash64("id").alias("h"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)) + F.when(F.col("id") == 5, 900_000).otherwise(1)).alias("bytes"))
     capacity, cuts = sharding.minimax_cuts(groups, 24)
@@ -132,6 +172,21 @@ def test_mixing(which, request, spark):
     assert mixing.take(df, seed=7).count() == sum(r.copies for r in rows)
 
 
+def test_mixing_of_a_row_repeated_very_often(spark):
+    """Repetitions are units of their own, also where they are most rows; take() gives the same copies."""
+    df = spark.range(3000).selectExpr("if(id < 2000, 1, id) as doc_id", "'a b c' as text", "if(id < 2000 or id % 2 = 0, 'hot', 'b') as source").repartition(6)
+    rows = mixing.mix(df, ["doc_id", "source"]).collect()
+    again = mixing.mix(df.repartition(3), ["doc_id", "source"]).collect()
+    assert Counter(rows) == Counter(again) and len(rows) == 3000
+    for s, t in water({"hot": 7500, "b": 1500}).items():
+        assert abs(sum(r.copies * r.size for r in rows if r.source == s) - t) <= 6
+    taken = Counter(r.doc_id for r in mixing.take(df).collect())
+    want = Counter()
+    for r in rows:
+        want[r.doc_id] += r.copies
+    assert taken == +want
+
+
 def test_mixing_rounds_without_bias(spark):
     df = spark.range(300).selectExpr("id as doc_id", "'a b c d' as text", "if(id < 200, 'a', 'b') as source")
     picks = Counter()

@@ -3,6 +3,7 @@
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -116,17 +117,27 @@ def overlapping(spark):
 @pytest.mark.parametrize("which", ["odd", "docs", "overlapping"])
 @pytest.mark.parametrize("bits", [27, 21])
 def test_repeated_windows(which, bits, request, spark):
+    """Also with a narrow sketch."""
     df = overlapping(spark) if which == "overlapping" else request.getfixturevalue(which)
     got = substring.strip_repeats(df, bits)
     assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got.collect()) == Counter(stripped(df.collect()))
     assert set(df.columns) <= set(got.columns)
 
 
+def test_saturated_sketch_changes_nothing(docs, monkeypatch):
+    """A sketch that lets everything pass leaves all the work to the exact count."""
+    import numpy as np
+
+    monkeypatch.setattr(substring, "merged_sketch", lambda docs, bits: np.full((substring.ROWS, 1 << (bits - 3)), 255, np.uint8))
+    got = substring.strip_repeats(docs, 21)
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got.collect()) == Counter(stripped(docs.collect()))
+
+
 def test_sketch_never_undercounts(docs):
     import numpy as np
 
     bits = substring.merged_sketch(docs)
-    anchors = [g for _, d in substring._chunks([r.text for r in docs.collect()]) for c in [substring._Chunk(d)] for g in c.grams[np.unique(c.anchor)].tolist()]
+    anchors = [g for _, d in substring._chunks(pa.array([r.text for r in docs.collect()])) for c in [substring._Chunk(d)] for g in c.grams[np.unique(c.anchor)].tolist()]
     twice = np.array([g for g, n in Counter(anchors).items() if n > 1], dtype=np.uint64)
     for r in range(substring.ROWS):
         k = substring._counters(twice, r, substring.WIDTH_BITS).astype(np.int64)
