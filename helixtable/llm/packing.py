@@ -19,7 +19,9 @@ import random
 import re
 import zlib
 from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -31,7 +33,7 @@ from helixtable.llm.common import fresh, settled
 
 ROOM, END_ID = 1024, 2
 CELL, ISLANDS, EPOCHS, GENERATIONS, PACKINGS = 8192, 2, 2, 6, 4
-POOR = 0.97
+POOR, WORK = 0.97, 400
 
 #: Fixed value: how the byte-level vocabulary cuts a text into words.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -160,8 +162,49 @@ def longest_first(sizes: list[int], items: list[int], rng: random.Random, noise:
     return sorted(items, key=lambda i: -sizes[i] * (1 + noise * rng.random()))
 
 
+def exchange(sizes: list[int], bins: list[list[int]], loose: list[int], rng: random.Random) -> list[int]:
+    """Puts loose items for one or two smaller ones into sequences, so that those get fuller; what came out is loose then.
+
+    Sequences become fuller and loose items smaller with each exchange, which are easier to place.
+    """
+    loose = sorted(loose, key=lambda i: sizes[i])
+    keys = [sizes[i] for i in loose]
+    for b in rng.sample(bins, len(bins)):
+        room = ROOM - sum(sizes[i] for i in b)
+        if not room or not loose:
+            continue
+        few = b if len(b) <= 6 else rng.sample(b, 6)
+        best = None  # gain, items out, places of loose items in
+        for out in [*((i,) for i in few), *combinations(few, 2)]:
+            s = sum(sizes[i] for i in out)
+            k = bisect_right(keys, s + room) - 1  # the largest loose item that fits
+            if k >= 0 and keys[k] > s and (best is None or keys[k] - s > best[0]):
+                best = keys[k] - s, out, (k,)
+            if best is not None and best[0] == room:
+                break
+            for _ in range(2):  # two loose items: one by chance, the other as large as fits
+                j = rng.randrange(len(keys))
+                k = bisect_right(keys, s + room - keys[j]) - 1
+                k -= k == j
+                if k >= 0 and keys[j] + keys[k] > s and (best is None or keys[j] + keys[k] - s > best[0]):
+                    best = keys[j] + keys[k] - s, out, (j, k)
+        if best:
+            _, out, places = best
+            b[:] = [i for i in b if i not in out] + [loose[k] for k in places]
+            for k in sorted(places, reverse=True):
+                del loose[k], keys[k]
+            for i in out:
+                k = bisect_right(keys, sizes[i])
+                loose.insert(k, i)
+                keys.insert(k, sizes[i])
+    return loose
+
+
 def crossover(into: Packing, giver: Packing, rng: random.Random) -> Packing:
-    """into with some of the giver's well-filled sequences; a few of its worst sequences are opened as well."""
+    """into with some of the giver's well-filled sequences; a few of its worst sequences are opened as well.
+
+    Displaced items are exchanged against smaller ones of the other poorly filled sequences first, and then placed.
+    """
     full = [b for b, r in zip(giver.bins, giver.room) if r <= ROOM // 64]
     injected = rng.sample(full, (len(full) + 1) // 2)
     taken = bytearray(len(into.sizes))
@@ -175,6 +218,8 @@ def crossover(into: Packing, giver: Packing, rng: random.Random) -> Packing:
             displaced += [i for i in b if not taken[i]]
         else:
             kept.append(list(b))
+    open_bins = [b for b in kept[len(injected) :] if ROOM - sum(into.sizes[i] for i in b) > 0]
+    displaced = exchange(into.sizes, open_bins if len(open_bins) <= WORK else rng.sample(open_bins, WORK), displaced, rng)
     return Packing(into.sizes, kept).place(longest_first(into.sizes, displaced, rng, 0.02))
 
 
@@ -194,11 +239,11 @@ def least_sequences(sizes: list[int]) -> int:
 
 
 def evolve(sizes: list[int], population: list[Packing], rng: random.Random) -> list[Packing]:
-    """Up to PACKINGS packings after at most GENERATIONS generations, the best one first; stops at a proven least number of sequences."""
+    """Up to PACKINGS packings, the best one first, after at most GENERATIONS generations, more of them for few items; stops at a proven least number of sequences."""
     everything, least = list(range(len(sizes))), least_sequences(sizes)
     while len(population) < PACKINGS and not any(len(p.bins) <= least for p in population):
         population.append(Packing(sizes).place(longest_first(sizes, everything, rng, 0.1 * len(population) / PACKINGS)))
-    for _ in range(GENERATIONS):
+    for _ in range(max(GENERATIONS, min(40 * GENERATIONS, GENERATIONS * CELL // max(1, 4 * len(sizes))))):
         population = sorted(population, key=Packing.fitness, reverse=True)
         if len(population) < 2 or len(population[0].bins) <= least:
             break

@@ -169,3 +169,38 @@ def test_evolution_beats_best_fit():
 def test_empty(odd):
     none = odd.where("false")
     assert packing.pack(none, BYTES, ["doc_id"]).count() == token_counts.prefix_table(none, MODEL, ["doc_id"]).count() == 0
+
+
+def test_both_libraries_agree_on_the_whole_class():
+    """Texts of usual characters: both libraries class each character alike, and every entry of the vocabulary encodes alike.
+
+    How a text is cut depends on the classes of its characters alone, and how a word is merged on the vocabulary alone.
+    """
+    encoder = packing.Encoder(open(BYTES, encoding="utf-8").read(), open(RANKS, "rb").read())
+    usual = [chr(c) for c in range(0x250) if not packing.UNUSUAL(chr(c))]
+    assert len(usual) > 500
+    around = ["", " ", "  ", "\n", "a", "1", "!", "'", "a'", "'s", "é"]
+    texts = [x + c + y for c in usual for x in around for y in around]
+    texts += [x + c + y + "ab" for c in " \t\n\r" for x in usual for y in usual]
+    words = [encoder.library.decode([i]) for i in range(encoder.library.get_vocab_size())]
+    texts += [w for w in words if not packing.UNUSUAL(w)] + [w + w for w in words if not packing.UNUSUAL(w)]
+    found = encoder.library.encode_batch(texts, add_special_tokens=False)
+    for t, f in zip(texts, found):
+        assert not packing.UNUSUAL(t) and encoder.fast(t) == f.ids, repr(t)
+
+
+def test_evolution_gains_on_best_fit():
+    """Instances that best fit alone packs badly: the least number of sequences is known for the first."""
+    rng = random.Random(1)
+    triplets = []
+    for _ in range(200):
+        a = rng.randrange(390, 500)
+        b = rng.randrange((1024 - a) // 2 - 60, (1024 - a) // 2)
+        triplets += [a, b, 1024 - a - b]
+    for sizes, gain in ((triplets, 12), ([rng.randrange(200, 700) for _ in range(1500)], 4)):
+        rng.shuffle(sizes)
+        best_fit = packing.Packing(sizes).place(sorted(range(len(sizes)), key=lambda i: -sizes[i]))
+        population = packing.evolve(sizes, [], random.Random(2))
+        best = population[0]
+        assert sorted(i for b in best.bins for i in b) == list(range(len(sizes))) and all(sum(sizes[i] for i in b) <= packing.ROOM for b in best.bins)
+        assert packing.least_sequences(sizes) <= len(best.bins) <= len(best_fit.bins) - gain
