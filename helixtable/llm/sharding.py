@@ -8,8 +8,8 @@ runs on the driver over a summary of bounded size: the order is cut into ranges
 which a cut can still fall are split further, until those hold single groups. About the same number of ranges is live
 at each level whatever the size of the corpus.
 
-Defined results: a null text counts as no bytes; all null texts form one group and all empty ones another; a group larger than an
-even share gets a shard that is as large as needed, and the other shards share the rest about equally; an empty table gives an empty table; equal rows get different slots; further
+Defined results: a null text counts as an empty one and is in its group; a group larger than an even
+share gets a shard that is as large as needed, and the other shards share the rest about equally; an empty table gives an empty table; equal rows get different slots; further
 columns are left out by assign() and kept by shard_documents(), where results replace columns of the same name.
 """
 
@@ -129,7 +129,7 @@ def assign(docs: DataFrame, shards: int = 24) -> DataFrame:
             "doc_id",
             (F.octet_length(text) + 8).cast("long").alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
-            F.xxhash64("text").alias("h"),
+            F.xxhash64(text).alias("h"),
             F.xxhash64("doc_id", "text").alias("u"),
         )
     )
@@ -152,6 +152,7 @@ def assign(docs: DataFrame, shards: int = 24) -> DataFrame:
 
 def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
     """docs with the column shard, e.g. for write.partitionBy('shard'); rows are not shuffled."""
-    rows = docs.select(F.xxhash64("text").alias("h"), (F.octet_length(F.coalesce("text", F.lit(""))) + 8).alias("size"))
+    h = F.xxhash64(F.coalesce("text", F.lit("")))
+    rows = docs.select(h.alias("h"), (F.octet_length(F.coalesce("text", F.lit(""))) + 8).alias("size"))
     _, cuts = balanced_cuts(settled(rows.groupBy("h").agg(F.sum("size").cast("long").alias("bytes"))), shards)
-    return docs.withColumn("shard", sum(((F.xxhash64("text") >= F.lit(c)).cast("int") for c in cuts[1:]), F.lit(0)).cast("int"))
+    return docs.withColumn("shard", sum(((h >= F.lit(c)).cast("int") for c in cuts[1:]), F.lit(0)).cast("int"))

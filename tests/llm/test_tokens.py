@@ -178,7 +178,7 @@ def test_both_libraries_agree_on_the_whole_class():
     """
     encoder = packing.Encoder(open(BYTES, encoding="utf-8").read(), open(RANKS, "rb").read())
     usual = [chr(c) for c in range(0x250) if not packing.UNUSUAL(chr(c))]
-    assert len(usual) > 500
+    assert len(usual) > 450
     around = ["", " ", "  ", "\n", "a", "1", "!", "'", "a'", "'s", "é"]
     texts = [x + c + y for c in usual for x in around for y in around]
     texts += [x + c + y + "ab" for c in " \t\n\r" for x in usual for y in usual]
