@@ -39,7 +39,7 @@ from helixtable.llm.common import fresh, slices, stash
 WINDOW, GRAM = 35, 8
 SPAN = WINDOW - GRAM + 1
 ROWS, WIDTH_BITS, RANGE_BITS = 2, 27, 21
-CHUNK_WORDS, CACHE_WORDS = 200_000, 200_000
+CHUNK_WORDS, CACHE_WORDS = 200_000, 100_000
 BASE = 0x9E3779B97F4A7C15
 SALTS = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
