@@ -24,8 +24,9 @@ def kmers(sequences: DataFrame, k: int, id_col: str = "seq_id", sequence: str =
     n = F.ceil((F.length(s) - (k - 1)) / piece).cast("int")
     cut = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct((i * piece).alias("base"), F.substring(s, i * piece + 1, F.lit(piece + k - 1)).alias("text")))
     pieces = sequences.where(F.length(s) >= k).select(id_col, F.explode(cut).alias("c")).select(id_col, "c.base", "c.text")
-    each = F.transform(F.sequence(F.lit(1), F.length("text") - (k - 1)), lambda j: F.struct(F.substring(F.col("text"), j, F.lit(k)).alias("kmer"), (F.col("base") + j).alias("pos")))
-    return pieces.select(id_col, F.explode(each).alias("x")).select(id_col, "x.kmer", "x.pos")
+    # places are generated and the letters are cut out behind, in compiled code; a function over an array would be interpreted
+    places = pieces.select(id_col, "base", "text", F.explode(F.sequence(F.lit(1), F.length("text") - (k - 1))).alias("j"))
+    return places.select(id_col, F.substring("text", F.col("j"), F.lit(k)).alias("kmer"), (F.col("base") + F.col("j")).alias("pos"))
 
 
 def seed_join(queries: DataFrame, subjects: DataFrame, cap: int | None = None, salts: int = 16, hot: int = 1000) -> DataFrame:
