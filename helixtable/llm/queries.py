@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixtable.llm import chat, exact_dedup
+from helixtable.llm import chat, exact_dedup, filter_audit, lexical_search
 from helixtable.llm.common import table
 
 
@@ -80,6 +80,14 @@ def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_packed_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_blocked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -97,9 +105,11 @@ QUERIES = {
         op8_prefix_tokens,
         op9_genetic_packing,
         op10_simhash_groups,
+        op11_packed_audit,
+        op12_blocked_search,
         op13_chunk_recipes,
     )
 }
 
 #: DuckDB SQL by query, where SQL can express it.
-ORACLES: dict[str, str] = {"op7_snapshot_collapse": chat.SQL, "op13_chunk_recipes": exact_dedup.SQL}
+ORACLES: dict[str, str] = {"op7_snapshot_collapse": chat.SQL, "op11_packed_audit": filter_audit.SQL, "op12_blocked_search": lexical_search.SQL, "op13_chunk_recipes": exact_dedup.SQL}

@@ -23,7 +23,7 @@ def test_entry_with_and_without(tmp_path):
         shutil.rmtree(tmp_path / "bare" / p)
     (tmp_path / "bare/corpus_pipeline.py").unlink()
     bare = listed(tmp_path / "bare").stdout.split()
-    assert bare[1] == "False" and int(bare[0]) == int(whole[0]) - 12 and int(bare[2]) > 0
+    assert bare[1] == "False" and int(bare[0]) == int(whole[0]) - 14 and int(bare[2]) > 0
     (tmp_path / "broken/helixtable/llm/substring.py").write_text("import a_module_that_is_not_there\n")
     assert "a_module_that_is_not_there" in listed(tmp_path / "broken").stderr
 
