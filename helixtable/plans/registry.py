@@ -11,7 +11,7 @@ from helixtable.functions import columns as C
 from helixtable.operators import catalog, ranges, reports, seeds
 from helixtable.operators import hits as H
 from helixtable.plans import binding as B
-from helixtable.plans import round_trips
+from helixtable.plans import round_trips, search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -370,5 +370,5 @@ def six_frames(spark, sf):
     return seeds.six_frames(B.table(spark, sf, "benchmark").select("item_id", dna.alias("dna")), "item_id", "dna")
 
 
-for _f, _sql in round_trips.ALL:
+for _f, _sql in [*round_trips.ALL, *search.ALL]:
     query(_sql)(_f)

@@ -11,6 +11,7 @@ from helixtable.schemas import DOMAIN_FIELDS
 from helixtable.scratch import shared_folder
 from helixtable.sources import readers as R
 from helixtable.sources import writers as W
+from helixtable.sources.fasta_pieces import read_fasta_pieces
 from helixtable.streaming.incremental import ingest_increment as ingest
 
 S = F.lit
@@ -39,6 +40,22 @@ def read_fasta(spark, sf):
 READ_FASTA = f"SELECT lang AS species, concat('D', doc_id) AS seq_id, concat('from ', source) AS description, {_SEQUENCE} AS sequence, CAST(length({_SEQUENCE}) AS BIGINT) AS length FROM documents"
 
 
+PIECE, BEYOND = 700, 11
+
+
+def fasta_pieces(spark, sf):
+    """The same files line by line, in pieces that overlap."""
+    docs = B.table(spark, sf, "documents")
+    path = shared_folder(spark)
+    W.write_fasta(docs.select(F.col("lang").alias("species"), F.concat(S("D"), F.col("doc_id").cast("string"), S(" from "), "source").alias("header"), F.regexp_replace("text", "[^A-Za-z]", "").alias("sequence")), path)
+    return read_fasta_pieces(spark, path, PIECE, BEYOND, "*.txt").select("species", "seq_id", "description", "first", "sequence")
+
+
+FASTA_PIECES = f"""WITH d AS (SELECT lang, doc_id, source, {_SEQUENCE} AS s FROM documents),
+p AS (SELECT *, unnest(range(0, greatest(1, (length(s) + {PIECE - 1}) // {PIECE}))) AS i FROM d)
+SELECT lang AS species, concat('D', doc_id) AS seq_id, concat('from ', source) AS description, i * {PIECE} + 1 AS "first", substr(s, i * {PIECE} + 1, {PIECE + BEYOND}) AS sequence FROM p"""
+
+
 def write_fasta(spark, sf):
     """Lines of sequences as they are in the files."""
     docs = B.table(spark, sf, "documents").select(F.col("lang").alias("species"), F.col("doc_id").cast("string").alias("header"), F.regexp_replace("text", "[^A-Za-z]", "").alias("sequence"))
@@ -316,6 +333,7 @@ ASSEMBLIES = """SELECT n_name AS taxon, CAST(row_number() OVER (PARTITION BY n_n
 
 ALL = [
     (read_fasta, READ_FASTA),
+    (fasta_pieces, FASTA_PIECES),
     (write_fasta, WRITE_FASTA),
     (read_blast_tab, _hit_sql(False)),
     (read_rps_tab, _hit_sql(True)),
