@@ -102,6 +102,8 @@ def extended(aligned: DataFrame, by: list[str], scoring: Scoring, drop: int) ->
 
     aligned(by, q_from, q_to, seed_count, q_text, s_text, shift): letter r of the query lies on letter r + shift of s_text. Unknown letters count as mismatches.
     """
+    # dealt by what the windows at the end need; rows are small and cost much, so that as many tasks as usual are to share them
+    aligned = aligned.repartition(int(aligned.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
     first = F.greatest(F.lit(1), 1 - F.col("shift")).cast("int")
     n = F.least(F.length("q_text"), F.length("s_text") - F.col("shift")).cast("int") - F.col("first") + 1
     df = aligned.withColumn("first", first).withColumn("n", n)

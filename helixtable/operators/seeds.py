@@ -7,6 +7,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from helixtable.operators.lookup import wanted_kmers
 from helixtable.scratch import kept
 
 # Amino acids of the standard genetic code, codons in the order T, C, A, G of each base.
@@ -71,6 +72,21 @@ def seed_join(queries: DataFrame, subjects: DataFrame, cap: int | None = None, h
     return copies.withColumn("salt", F.col("salt").cast("long")).join(dealt.withColumn("salt", F.col("salt").cast("long")), ["kmer", "salt"]).select("query", "q_pos", "subject", "s_pos")
 
 
+def seeds_of(queries: DataFrame, subjects: DataFrame, k: int, hot: int = 1000) -> DataFrame:
+    """Pairs (query, q_pos, subject, s_pos) of equal k-mers of queries(query, sequence) and subjects(subject, sequence).
+
+    Subjects are cut into chunks that overlap, and where the queries have few distinct k-mers, only places of these become rows.
+    """
+    own = kept(kmers(queries, k, "query").withColumnRenamed("pos", "q_pos"))
+    chunks = chunked(subjects, CHUNK, k - 1, "subject")
+    near = wanted_kmers(chunks.select(F.struct("subject", "first").alias("chunk"), "sequence"), k, own.select("kmer").distinct(), "chunk")
+    if near is None:
+        places = kmers(subjects, k, "subject").withColumnRenamed("pos", "s_pos")
+    else:
+        places = near.select("chunk.subject", "kmer", (F.col("chunk.first") + F.col("pos") - 1).alias("s_pos"))
+    return seed_join(own, places, hot=hot)
+
+
 def diagonal_hits(seeds: DataFrame, min_seeds: int = 3) -> DataFrame:
     """query, subject, diagonal, seed_count and span in the subject of diagonals with enough seeds."""
     d = (F.col("s_pos") - F.col("q_pos")).alias("diagonal")

@@ -15,11 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helixtable.operators.extension import PROTEIN, WIDTH, Scoring, extended, runs, with_letters
+from helixtable.operators.lookup import SENT, Wanted, held
 from helixtable.operators.seeds import AMINO, amino, reverse_complement, seed_join
 
 RESIDUES = "".join(sorted(set(AMINO)))
-#: Most distinct query k-mers that are sent to the tasks (8 bytes each); beyond, all places are joined.
-SENT = 1 << 20
 MOST_K = 12
 BASE = np.full(256, 4, dtype=np.int64)
 BASE[np.frombuffer(b"TCAG", dtype=np.uint8)] = np.arange(4)
@@ -54,29 +53,28 @@ def _residues(bases: np.ndarray) -> np.ndarray:
     return np.where(known, CODON[np.where(known, 16 * a + 4 * b + c, 0)], -1)
 
 
-def _places(dna: bytes, k: int, width: int) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
-    """Strand, places in the piece (from 0) of the first base read and numbers of the k-mers whose lowest base is among the first width ones."""
-    bases = BASE[np.frombuffer(dna, dtype=np.uint8)]
+def _places(dna: str, k: int) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """Strand, places (from 0) of the first base read and numbers of all known k-mers."""
+    bases = BASE[np.frombuffer(dna.encode("ascii", "replace"), dtype=np.uint8)]
     number, known = _numbers(_residues(bases), k, 3)
-    at = np.flatnonzero(known[:width])
+    at = np.flatnonzero(known)
     yield "+", at, number[at]
     number, known = _numbers(_residues(PAIRED[bases[::-1]]), k, 3)
     at = np.flatnonzero(known)
-    top = len(bases) - 1 - at  # the base that is read first; the lowest is 3k - 1 below
-    inside = top - (3 * k - 1) < width
-    yield "-", top[inside], number[at[inside]]
+    yield "-", len(bases) - 1 - at, number[at]
 
 
 def protein_kmers(queries: DataFrame, k: int) -> DataFrame:
     """query, kmer (a number) and q_pos of queries(query, sequence)."""
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i, s in enumerate(b.column("sequence")):
-                number, known = _numbers(LETTER[np.frombuffer((s.as_py() or "").encode("ascii", "replace"), dtype=np.uint8)], k, 1)
-                at = np.flatnonzero(known)
-                ids = b.column("query").take(pa.array(np.full(len(at), i)))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(number[at]), pa.array(at + 1)], names=["query", "kmer", "q_pos"])
+        for b, texts in held(batches, "sequence"):
+            # a letter that no k-mer holds lies between sequences
+            number, known = _numbers(LETTER[np.frombuffer("X".join(texts).encode("ascii", "replace"), dtype=np.uint8)], k, 1)
+            at = np.flatnonzero(known)
+            starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+            row = np.searchsorted(starts, at, side="right") - 1
+            yield pa.RecordBatch.from_arrays([b.column("query").take(pa.array(row)), pa.array(number[at]), pa.array(at - starts[row] + 1)], names=["query", "kmer", "q_pos"])
 
     kind = queries.schema["query"].dataType.simpleString()
     return queries.select("query", "sequence").mapInArrow(part, f"query {kind}, kmer long, q_pos long")
@@ -90,20 +88,22 @@ def genome_kmers(pieces: DataFrame, k: int, width: int, asked: DataFrame | None
     assert k <= MOST_K
     wanted = None
     if asked is not None and asked.count() <= SENT:
-        wanted = pieces.sparkSession.sparkContext.broadcast(np.sort(asked.toArrow()["kmer"].to_numpy()))
+        wanted = pieces.sparkSession.sparkContext.broadcast(Wanted(asked.toArrow()["kmer"].to_numpy()))
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i, s in enumerate(b.column("sequence")):
-                first = b.column("first")[i].as_py()
-                for strand, at, number in _places((s.as_py() or "").encode("ascii", "replace"), k, width):
-                    if wanted is not None:
-                        known = wanted.value
-                        hit = known[np.minimum(np.searchsorted(known, number), len(known) - 1)] == number if len(known) else np.zeros(len(number), dtype=bool)
-                        at, number = at[hit], number[hit]
-                    if len(at):
-                        ids = b.column("subject").take(pa.array(np.full(len(at), i)))
-                        yield pa.RecordBatch.from_arrays([ids, pa.array([strand] * len(at)), pa.array(number), pa.array(at + first)], names=["subject", "strand", "kmer", "s_pos"])
+        for b, texts in held(batches, "sequence"):
+            starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+            first = b.column("first").to_numpy()
+            for strand, at, number in _places("N".join(texts), k):
+                if wanted is not None:
+                    hit = wanted.value.places(number.astype(np.uint64))
+                    at, number = at[hit], number[hit]
+                row = np.searchsorted(starts, at, side="right") - 1
+                place = at - starts[row]
+                # a k-mer belongs to the piece that has its lowest base among the first width ones
+                own = np.flatnonzero((place if strand == "+" else place - (3 * k - 1)) < width)
+                row, place, number = row[own], place[own], number[own]
+                yield pa.RecordBatch.from_arrays([b.column("subject").take(pa.array(row)), pa.array([strand] * len(row), pa.string()), pa.array(number), pa.array(place + first[row])], names=["subject", "strand", "kmer", "s_pos"])
 
     kind = pieces.schema["subject"].dataType.simpleString()
     return pieces.select("subject", F.col("first").cast("long"), "sequence").mapInArrow(part, f"subject {kind}, strand string, kmer long, s_pos long")

@@ -338,18 +338,18 @@ SEED_SQL = KMERS + """, s AS (SELECT doc_id AS subject, substr(text, CAST(i AS B
 seeds AS (SELECT query, q_pos, subject, s_pos FROM q JOIN s USING (kmer))"""
 
 
-def _kmers(spark, sf, name, key, as_id, pos):
-    return seeds.kmers(B.spread(B.table(spark, sf, name).select(key, "text")), K, key, "text").select(F.col(key).alias(as_id), "kmer", F.col("pos").alias(pos))
+def _texts(spark, sf, name, key, as_id):
+    return B.spread(B.table(spark, sf, name).select(F.col(key).alias(as_id), F.col("text").alias("sequence")))
 
 
 @query(f"WITH {KMERS} SELECT query, kmer, q_pos FROM q")
 def kmers(spark, sf):
-    return _kmers(spark, sf, "benchmark", "item_id", "query", "q_pos")
+    return seeds.kmers(_texts(spark, sf, "benchmark", "item_id", "query"), K, "query").withColumnRenamed("pos", "q_pos")
 
 
 @query(f"WITH {SEED_SQL} SELECT query, q_pos, subject, s_pos FROM seeds")
 def seed_join(spark, sf):
-    return seeds.seed_join(kmers(spark, sf), _kmers(spark, sf, "documents", "doc_id", "subject", "s_pos"))
+    return seeds.seeds_of(_texts(spark, sf, "benchmark", "item_id", "query"), _texts(spark, sf, "documents", "doc_id", "subject"), K)
 
 
 @query(f"WITH {SEED_SQL} SELECT query, subject, s_pos - q_pos AS diagonal, count(*) AS seed_count, min(s_pos) AS s_from, max(s_pos) AS s_to FROM seeds GROUP BY ALL HAVING count(*) >= 3")

@@ -9,6 +9,7 @@ from helixtable.operators import extension as E
 from helixtable.operators import seeds as S
 from helixtable.operators import translated as T
 from helixtable.plans import binding as B
+from helixtable.scratch import kept
 
 K, K_PROTEIN, DROP = 12, 6, 20
 LETTERS, BASES = "abcdefghijklmnopqrstuvwxyz", ("ACGT" * 7)[:26]
@@ -16,13 +17,12 @@ IDENTITY = dict(identity=60.0, length=50, score=70)
 
 
 def _texts(spark, sf, name, key, as_id, sequence=None) -> DataFrame:
-    return B.spread(B.table(spark, sf, name).select(F.col(key).alias(as_id), (F.col("text") if sequence is None else sequence).alias("sequence")))
+    return B.spread(B.table(spark, sf, name).select(key, "text")).select(F.col(key).alias(as_id), (F.col("text") if sequence is None else sequence).alias("sequence"))
 
 
 def extended_hits(spark, sf):
     q, s = _texts(spark, sf, "benchmark", "item_id", "query"), _texts(spark, sf, "documents", "doc_id", "subject")
-    found = S.seed_join(S.kmers(q, K, "query").withColumnRenamed("pos", "q_pos"), S.kmers(s, K, "subject").withColumnRenamed("pos", "s_pos"))
-    return E.extend_seeds(found, q, E.blocks_of(s), K, drop=DROP)
+    return E.extend_seeds(S.seeds_of(q, s, K), q, E.blocks_of(s), K, drop=DROP)
 
 
 def identity_hits(spark, sf):
@@ -37,7 +37,7 @@ def translated_hits(spark, sf):
     """Passages, of which every other one is translated from its reverse complement, in all documents as genomes."""
     protein = F.when(F.col("item_id") % 2 == 0, S.amino(_dna(), 0)).otherwise(S.amino(S.reverse_complement(_dna()), 0))
     q = _texts(spark, sf, "benchmark", "item_id", "query", protein)
-    genomes = S.chunked(_texts(spark, sf, "documents", "doc_id", "subject", _dna()), E.WIDTH, T.overlap(K_PROTEIN), "subject")
+    genomes = kept(S.chunked(_texts(spark, sf, "documents", "doc_id", "subject", _dna()), E.WIDTH, T.overlap(K_PROTEIN), "subject"))
     return E.within(T.translated_search(q, genomes, K_PROTEIN, drop=DROP), length=30)
 
 
