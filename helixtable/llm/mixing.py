@@ -6,6 +6,9 @@ much of the other's probability as fits, and one of the two is settled at 0 or 1
 bounded size, in order of their sizes, so that what one loses a document of about its size gains; a group leaves at most
 one unsettled residual, and residuals meet again in groups of the next level: a reduction tree of logarithmic depth.
 
+What a source's words are off by then, since documents of a group differ in size, is corrected by changing the last copy of a few
+documents, from large to small.
+
 Random numbers are hashes of the seed and the two documents, and groups depend on hashes and counts alone, so reruns agree on any
 partitioning.
 
@@ -20,10 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from helixtable.llm.common import fresh, n_words, settled, stash
+from helixtable.llm.common import JUMPS, fresh, n_words, settled, stash
 
 GROUP = 64
 EPS = 1e-9
+#: Candidates of a source, a band of sizes and one way of rounding for the correction of a source's words.
+PICKED = 64
+TRIES = 32
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3) -> DataFrame:
@@ -158,9 +164,41 @@ def _rounded(rows: DataFrame, weights: tuple[int, ...], most: int, seed: int) ->
     last = rest.select(*key, (_unit(seed, F.col("u")) < F.col("p")).alias("chosen"))
     for d in done:
         last = last.unionByName(d)
-    out = first.join(last, key, "left").select("source_size", "target", "whole", "picks", "i", "p", "chosen", F.posexplode("units").alias("at", "x"))
+    out = first.join(last, key, "left").select("source_no", "band", "source_size", "target", "whole", "picks", "i", "p", "chosen", F.posexplode("units").alias("at", "x"))
     one_more = F.array_contains("picks", F.col("at")) | ((F.col("at") == F.col("i")) & F.coalesce("chosen", F.lit(False)))
-    return out.select("x.row", "x.u", "x.size", "source_size", "target", (F.col("whole") + one_more.cast("int")).alias("copies"))
+    rounded = stash(out.select("source_no", "band", "x.row", "x.u", "x.size", "source_size", "target", "whole", (F.col("x.p") > EPS).alias("open"), one_more.alias("more")))
+    flips = _corrections(rounded, plan.select("source_no", "band", "groups")).withColumn("flip", F.lit(True))
+    flips = F.broadcast(flips) if flips.count() <= JUMPS else flips
+    more = F.col("more") != F.coalesce("flip", F.lit(False))
+    return rounded.join(flips, ["source_no", "u"], "left").select("row", "u", "size", "source_size", "target", (F.col("whole") + more.cast("int")).alias("copies"))
+
+
+def _corrections(rounded: DataFrame, groups: DataFrame) -> DataFrame:
+    """source_no and u of documents whose last copy is taken or left the other way, so that their source's words come near its target.
+
+    The tree keeps numbers of documents, so the words of a source are off by what documents of one group differ in size, and by the few
+    that were settled among bands: little beside many documents, much beside few. Of each source and band some documents, picked by their
+    hash, are candidates; from the largest to the smallest, the one whose change brings the sum nearer is changed, and of TRIES
+    runs that begin at the first, second and further candidates the best one counts. A source's candidates are at most 2 * PICKED for each band of sizes, in one row.
+    """
+    words = F.sum(F.col("size") * (F.col("whole") + F.col("more").cast("int")))
+    off = rounded.groupBy("source_no").agg((words - F.first("target")).alias("off"))
+    # about 16 * PICKED of a band at most get to the ranks: a group of the tree has GROUP documents or so
+    luck = _unit(11, F.col("u")) * F.col("groups") * GROUP < 16.0 * PICKED
+    near = rounded.where("open and size > 0").join(groups, ["source_no", "band"]).where(luck).select("source_no", "band", "more", "u", "size")
+    rank = F.row_number().over(Window.partitionBy("source_no", "band", "more").orderBy(F.xxhash64(F.lit(12), F.col("u")), "u"))
+    some = near.withColumn("rank", rank).where(F.col("rank") <= PICKED)
+    lists = some.groupBy("source_no").agg(F.sort_array(F.collect_list(F.struct("size", "u", "more")), False).alias("units")).join(off, "source_no")
+
+    def step(a: Column, x: Column) -> Column:
+        then = a["off"] + F.when(x["more"], -x["size"]).otherwise(x["size"])
+        nearer = F.abs(then) < F.abs(a["off"])
+        return F.struct(F.when(nearer, then).otherwise(a["off"]).alias("off"), F.when(nearer, F.concat(a["flips"], F.array(x["u"]))).otherwise(a["flips"]).alias("flips"))
+
+    start = F.struct(F.col("off").cast("double").alias("off"), F.array().cast("array<bigint>").alias("flips"))
+    tries = F.transform(F.sequence(F.lit(1), F.lit(TRIES)), lambda first: F.aggregate(F.slice("units", first, F.size("units")), start, step))
+    best = F.array_min(F.transform(tries, lambda t: F.struct(F.abs(t["off"]).alias("off"), t["flips"].alias("flips"))))
+    return settled(lists.select("source_no", F.explode(best["flips"]).alias("u")))
 
 
 def take(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: int = 7) -> DataFrame:
