@@ -1,7 +1,8 @@
 """Hits from seeds: extension along diagonals without gaps, with scores, identity and thresholds.
 
 Seeds on one diagonal that overlap or touch are one run of equal letters. A run is extended to both sides over the query's and the
-subject's letters until the score falls by more than a given drop below the best so far, and ends at that best. Of a diagonal's hits, one
+subject's letters until the score falls by more than a given drop below the best so far, and ends at that best; a task does
+that for many runs at once, as running sums and maxima of arrays. Of a diagonal's hits, one
 that lies within another goes.
 
 Subjects come in blocks of a fixed width, so that one may be as long as a chromosome: a run takes the blocks that its query
@@ -10,12 +11,16 @@ can reach on its diagonal, and no more than these are held together. Queries are
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from helixtable.operators.lookup import code_points
 from helixtable.operators.seeds import chunked
 
 WIDTH = 1024
@@ -35,18 +40,23 @@ class Scoring:
     unknown: str = ""
     table: dict[str, int] = field(default_factory=dict)
 
-    def equal(self, a: Column, b: Column) -> Column:
-        return (a == b) & ~a.isin(list(self.unknown)) if self.unknown else a == b
-
-    def of(self, a: Column, b: Column) -> Column:
-        letters, heads = "".join(self.classes), "".join(c[0] * len(c) for c in self.classes)
-        alike = F.translate(a, letters, heads) == F.translate(b, letters, heads) if self.classes else F.lit(False)
-        if self.unknown:
-            alike = alike & ~a.isin(list(self.unknown))
-        score = F.when(self.equal(a, b), self.match).when(alike, self.similar).otherwise(self.mismatch)
-        if not self.table:
-            return score
-        return F.coalesce(F.create_map(*[F.lit(x) for pair in self.table.items() for x in pair])[F.concat(a, b)], score)
+    def pairs(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of pairs of letters, given as code points, and whether they match."""
+        known = ~np.isin(a, [ord(c) for c in self.unknown]) if self.unknown else np.ones(len(a), dtype=bool)
+        equal = (a == b) & known
+        alike = np.zeros(len(a), dtype=bool)
+        for letters in self.classes:
+            members = [ord(c) for c in letters]
+            alike |= np.isin(a, members) & np.isin(b, members)
+        scores = np.where(equal, self.match, np.where(alike & known, self.similar, self.mismatch)).astype(np.int64)
+        if self.table:
+            keys = np.array([ord(x) << 32 | ord(y) for x, y in self.table], dtype=np.uint64)
+            order = np.argsort(keys)
+            own = a << np.uint64(32) | b
+            near = np.minimum(np.searchsorted(keys, own, sorter=order), len(keys) - 1)
+            given = keys[order][near] == own
+            scores[given] = np.array(list(self.table.values()), dtype=np.int64)[order][near][given]
+        return scores, equal
 
 
 #: Residues of similar nature; X stands for any.
@@ -78,23 +88,46 @@ def with_letters(df: DataFrame, blocks: DataFrame, subject: Column, low: Column,
     return joined.withColumn("letters", cut).drop("p", "_subject", "_to")
 
 
-def _best(scores: Column, drop: int) -> Column:
-    """Letters and score of the best prefix of an array of scores, looked for until the sum is more than drop below the best: one pass."""
-    zero = F.lit(0).cast("long")
-
-    def step(a: Column, x: Column) -> Column:
-        total = a["sum"] + x
-        better = a["live"] & (total > a["best"])
-        return F.struct(
-            total.alias("sum"), F.when(better, total).otherwise(a["best"]).alias("best"), F.when(better, a["i"] + 1).otherwise(a["n"]).alias("n"),
-            (a["i"] + 1).alias("i"), (a["live"] & (a["best"] - total <= drop)).alias("live"),
-        )
-
-    return F.aggregate(scores, F.struct(zero.alias("sum"), zero.alias("best"), zero.alias("n"), zero.alias("i"), F.lit(True).alias("live")), step)
-
-
-def _letters(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+HIT = ["q_start", "q_end", "score", "aln_len", "matches", "subject_sequence"]
+#: Pairs of letters that a task holds at a time, but for a longer query.
+CELLS = 1 << 20
+
+
+def _best(scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray, step: int, drop: int) -> tuple[np.ndarray, np.ndarray]:
+    """Letters and score of the best prefix of each segment of scores (backwards with step -1), looked for until the sum is more than drop below the best."""
+    width = int(lengths.max(initial=0)) + 1
+    i = np.arange(width)
+    inside = i < lengths[:, None]
+    # what lies behind a segment ends it
+    sums = np.cumsum(np.where(inside, scores[np.where(inside, starts[:, None] + step * i, 0)], -(drop + 1) * (1 << 20)), axis=1)
+    top = np.maximum.accumulate(np.maximum(sums, 0), axis=1)
+    alive = np.cumsum(top - sums > drop, axis=1) == 0
+    sums = np.where(alive, sums, 0)
+    at = np.argmax(sums, axis=1)
+    best = np.take_along_axis(sums, at[:, None], axis=1)[:, 0]
+    return np.where(best > 0, at + 1, 0), np.maximum(best, 0)
+
+
+def _extensions(rows: list[tuple], scoring: Scoring, drop: int) -> Iterator[np.ndarray | list[str]]:
+    """q_start, q_end, score, aln_len, matches and subject_sequence of rows(q_from, q_to, q_text, s_text, shift)."""
+    q_from, q_to, _, _, shift = (np.array(c) if i in (0, 1, 4) else None for i, c in enumerate(zip(*rows)))
+    first = np.maximum(1, 1 - shift)
+    n = np.minimum([len(r[2]) for r in rows], np.array([len(r[3]) for r in rows]) - shift) - first + 1
+    a = "".join(r[2][f - 1 : f - 1 + m] for r, f, m in zip(rows, first.tolist(), n.tolist()))
+    theirs = [r[3][f + d - 1 : f + d - 1 + m] for r, f, d, m in zip(rows, first.tolist(), shift.tolist(), n.tolist())]
+    scores, equal = scoring.pairs(code_points(a), code_points("".join(theirs)))
+    scores = np.append(scores, 0)
+    base = np.cumsum(n) - n
+    low, high = base + q_from - first, base + q_to - first + 1  # the run's letters among all
+    left, left_score = _best(scores, low - 1, q_from - first, -1, drop)
+    right, right_score = _best(scores, high, n - (q_to - first + 1), 1, drop)
+    total, same = np.concatenate([[0], np.cumsum(scores)]), np.concatenate([[0], np.cumsum(equal)])
+    yield q_from - left
+    yield q_to + right
+    yield total[high] - total[low] + left_score + right_score
+    yield high + right - low + left
+    yield same[high + right] - same[low - left]
+    yield [t[i:j] for t, i, j in zip(theirs, (low - left - base).tolist(), (high + right - base).tolist())]
 
 
 def extended(aligned: DataFrame, by: list[str], scoring: Scoring, drop: int) -> DataFrame:
@@ -102,25 +135,22 @@ def extended(aligned: DataFrame, by: list[str], scoring: Scoring, drop: int) ->
 
     aligned(by, q_from, q_to, seed_count, q_text, s_text, shift): letter r of the query lies on letter r + shift of s_text. Unknown letters count as mismatches.
     """
-    # dealt by what the windows at the end need; rows are small and cost much, so that as many tasks as usual are to share them
-    aligned = aligned.repartition(int(aligned.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
-    first = F.greatest(F.lit(1), 1 - F.col("shift")).cast("int")
-    n = F.least(F.length("q_text"), F.length("s_text") - F.col("shift")).cast("int") - F.col("first") + 1
-    df = aligned.withColumn("first", first).withColumn("n", n)
-    a, b = F.substring("q_text", F.col("first"), F.col("n")), F.substring("s_text", (F.col("first") + F.col("shift")).cast("int"), F.col("n"))
-    pair = F.zip_with(_letters(a), _letters(b), lambda x, y: F.struct(scoring.of(x, y).cast("long").alias("score"), scoring.equal(x, y).alias("equal"), y.alias("letter")))
-    df = df.withColumn("pairs", pair).withColumn("lead", (F.col("q_from") - F.col("first")).cast("int")).withColumn("core", (F.col("q_to") - F.col("q_from") + 1).cast("int"))
-    score = F.transform("pairs", lambda p: p["score"])
-    total = F.aggregate(F.slice(score, F.col("lead") + 1, F.col("core")), F.lit(0).cast("long"), lambda x, y: x + y)
-    df = df.withColumn("left", _best(F.reverse(F.slice(score, F.lit(1), F.col("lead"))), drop)).withColumn("right", _best(F.slice(score, F.col("lead") + F.col("core") + 1, F.size("pairs")), drop)).withColumn("core_score", total)
-    df = df.select(
-        *by, "q_from", "seed_count", (F.col("q_from") - F.col("left.n")).alias("q_start"), (F.col("q_to") + F.col("right.n")).alias("q_end"),
-        (F.col("core_score") + F.col("left.best") + F.col("right.best")).alias("score"), F.slice("pairs", (F.col("lead") - F.col("left.n") + 1).cast("int"), (F.col("core") + F.col("left.n") + F.col("right.n")).cast("int")).alias("pairs"),
-    )
-    df = df.select(
-        *by, "q_from", "seed_count", "q_start", "q_end", "score", F.size("pairs").cast("long").alias("aln_len"), F.size(F.filter("pairs", lambda p: p["equal"])).cast("long").alias("matches"),
-        F.array_join(F.transform("pairs", lambda p: p["letter"]), "").alias("subject_sequence"),
-    )
+    keep = [*by, "q_from", "seed_count"]
+    fields = ", ".join(f"`{c}` {aligned.schema[c].dataType.simpleString()}" for c in keep)
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, at, cells = [], 0, 0
+            for i, row in enumerate(zip(*(b.column(c).to_pylist() for c in ("q_from", "q_to", "q_text", "s_text", "shift")))):
+                rows.append(row)
+                cells = max(cells, len(row[2]) + 1)
+                if cells * len(rows) >= CELLS or i + 1 == b.num_rows:
+                    found = [pa.array(x) for x in _extensions(rows, scoring, drop)]
+                    yield pa.RecordBatch.from_arrays([*(b.column(c).slice(at, len(rows)) for c in keep), *found], names=[*keep, *HIT])
+                    rows, at, cells = [], i + 1, 0
+
+    wide = aligned.select(*keep, "q_to", "q_text", "s_text", "shift")
+    df = wide.mapInArrow(part, f"{fields}, q_start long, q_end long, score long, aln_len long, matches long, subject_sequence string")
     w = Window.partitionBy(*by).orderBy("q_start", F.desc("q_end"), "q_from")
     reached = F.max("q_end").over(w.rowsBetween(Window.unboundedPreceding, -1))
     df = df.withColumn("own", F.coalesce(reached < F.col("q_end"), F.lit(True))).withColumn("hit", F.sum(F.col("own").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
