@@ -82,10 +82,11 @@ def with_letters(df: DataFrame, blocks: DataFrame, subject: Column, low: Column,
     block = lambda c: F.floor((F.col(c) - 1) / width)
     asked = near.withColumn("block", F.explode(F.sequence(block("letters_from"), block("_to"))))
     found = asked.join(blocks.select(F.col("subject").alias("_subject"), "block", "piece"), ["_subject", "block"])
-    joined = found.groupBy(*near.columns).agg(F.array_sort(F.collect_list(F.struct("block", "piece"))).alias("p"))
-    text = F.array_join(F.transform("p", lambda p: p["piece"]), "")
-    cut = F.substring(text, (F.col("letters_from") - block("letters_from") * width).cast("int"), (F.col("_to") - F.col("letters_from") + 1).cast("int"))
-    return joined.withColumn("letters", cut).drop("p", "_subject", "_to")
+    # of a block, only the letters in reach go on
+    skip = F.greatest(F.col("letters_from") - F.col("block") * width, F.lit(1))
+    part = F.substring("piece", skip.cast("int"), (F.col("_to") - F.col("block") * width - skip + 1).cast("int"))
+    joined = found.select(*near.columns, F.struct("block", part.alias("part")).alias("p")).groupBy(*near.columns).agg(F.array_sort(F.collect_list("p")).alias("p"))
+    return joined.withColumn("letters", F.array_join(F.transform("p", lambda p: p["part"]), "")).drop("p", "_subject", "_to")
 
 
 HIT = ["q_start", "q_end", "score", "aln_len", "matches", "subject_sequence"]
