@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from helixtable.functions import columns as C
 from helixtable.schemas import HIT_DOUBLES, HIT_LONGS
+from helixtable.scratch import kept
 
 
 def filter_hits(hits: DataFrame, identity: float = 60.0, evalue: float = 0.01, length: int = 50, bitscore: float = 70.0) -> DataFrame:
@@ -42,6 +43,54 @@ def dedupe_hits(hits: DataFrame) -> DataFrame:
     return hits.select(cols).distinct()
 
 
+#: Most digests of rows that are met again that dedupe_wide broadcasts, 16 bytes each.
+REPEATED = 1 << 20
+
+
+def dedupe_wide(hits: DataFrame) -> DataFrame:
+    """dedupe_hits for wide rows, as with sequences: only rows whose 128-bit digest is met again are shuffled and compared, by all columns.
+
+    Where more than REPEATED digests are met again, all rows are.
+    """
+    cols = [c for c in hits.columns if c != "tag"]
+    marked = hits.select(*cols, F.struct(F.xxhash64(F.lit(1), *cols).alias("a"), F.xxhash64(F.lit(2), *cols).alias("b")).alias("_digest"))
+    again = kept(marked.groupBy("_digest").count().where("count > 1").select("_digest"))
+    if again.count() > REPEATED:
+        return hits.select(cols).distinct()
+    again = F.broadcast(again)
+    return marked.join(again, "_digest", "left_anti").select(cols).union(marked.join(again, "_digest", "left_semi").select(cols).distinct())
+
+
+def unique_tags(hits: DataFrame, length: int = 6) -> DataFrame:
+    """hits with a tag that no different row has: the first letters of a digest, and twice as many where these are another row's too, until none are.
+
+    Only digests that clash are looked at again, and only their rows are joined. Equal rows have one tag; null and the empty text differ.
+    """
+    cols = [c for c in hits.columns if c != "tag"]
+    text = lambda c: F.col(c).cast("string")
+    parts = F.concat(*[F.coalesce(F.concat(F.char_length(text(c)).cast("string"), F.lit(":"), text(c)), F.lit("-")) for c in cols])
+    marked = hits.select(*cols, F.upper(F.sha2(parts, 256)).alias("_digest"))
+    head = lambda n: F.substring("_digest", 1, n)
+    clashing, longer, n = kept(marked.select("_digest").distinct()), [], length
+    while n < 64:
+        shared = clashing.groupBy(head(n).alias("_head")).count().where("count > 1").select("_head")
+        clashing = clashing.withColumn("_head", head(n))
+        if n > length:
+            longer.append(clashing.join(shared, "_head", "left_anti").select("_digest", F.col("_head").alias("_tag")))
+        clashing = kept(clashing.join(shared, "_head", "left_semi").select("_digest"))
+        if not clashing.limit(1).count():
+            break
+        n *= 2
+    else:
+        longer.append(clashing.select("_digest", F.col("_digest").alias("_tag")))
+    if not longer:
+        return marked.select(*cols, head(length).alias("tag"))
+    tags = longer[0]
+    for more in longer[1:]:
+        tags = tags.union(more)
+    return marked.join(kept(tags), "_digest", "left").select(*cols, F.coalesce("_tag", head(length)).alias("tag"))
+
+
 def tag_hits(hits: DataFrame, length: int = 6) -> DataFrame:
     """hits with a tag from a hash of all other columns: stable when a task runs again."""
     cols = [c for c in hits.columns if c != "tag"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixtable.functions import columns as C
-from helixtable.operators import catalog, ranges, reports, seeds
+from helixtable.operators import catalog, ranges, reports, seeds, species
 from helixtable.operators import hits as H
 from helixtable.plans import binding as B
 from helixtable.plans import round_trips, search
@@ -164,6 +164,22 @@ def tag_hits(spark, sf):
     return H.tag_hits(B.table(spark, sf, "events").select("event_id", "user_id", "event_type", "props"))
 
 
+@query("""WITH r AS (SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN '' ELSE l_returnflag END AS flag FROM lineitem),
+    d AS (SELECT *, upper(sha256(concat(length(CAST(l_orderkey AS VARCHAR)), ':', l_orderkey, length(CAST(l_linenumber AS VARCHAR)), ':', l_linenumber, coalesce(length(flag) || ':' || flag, '-')))) AS h FROM r),
+    c AS (SELECT *, count(DISTINCT h) OVER (PARTITION BY substr(h, 1, 4)) AS c4, count(DISTINCT h) OVER (PARTITION BY substr(h, 1, 8)) AS c8, count(DISTINCT h) OVER (PARTITION BY substr(h, 1, 16)) AS c16 FROM d)
+    SELECT l_orderkey, l_linenumber, flag, substr(h, 1, CASE WHEN c4 = 1 THEN 4 WHEN c8 = 1 THEN 8 WHEN c16 = 1 THEN 16 ELSE 32 END) AS tag FROM c""")
+def unique_tags(spark, sf):
+    """Tags of four letters at least, so that many clash."""
+    flag = F.when(F.col("l_linenumber") == 2, "").when(F.col("l_linenumber") > 2, F.col("l_returnflag"))
+    return H.unique_tags(B.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", flag.alias("flag")), 4)
+
+
+@query("SELECT DISTINCT lang, source, text FROM (SELECT lang, source, text FROM documents UNION ALL SELECT lang, source, text FROM documents WHERE doc_id % 3 = 0)")
+def dedupe_wide(spark, sf):
+    docs = B.table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
+    return H.dedupe_wide(docs.union(docs.where("doc_id % 3 = 0")).drop("doc_id"))
+
+
 @query("""WITH codes AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN concat('GCF_', lpad(CAST(o_custkey AS VARCHAR), 9, '0'), '.1')
         WHEN 1 THEN concat('ABC', lpad(CAST(o_custkey AS VARCHAR), 5, '0')) WHEN 2 THEN concat('NP_', o_custkey, '.2') ELSE concat('Homo species ', o_custkey) END AS query FROM orders)
     SELECT o_orderkey, query, CASE WHEN regexp_matches(query, '^GC[AF]_[0-9]+(\\.[0-9]+)?$') THEN 'assembly' WHEN regexp_matches(query, '^[A-Z]{3}[0-9]{5}(\\.[0-9]+)?$') THEN 'protein'
@@ -279,6 +295,33 @@ def tile_frame(spark, sf):
 # -- species
 
 
+def _spoiled(spark, sf):
+    """Hits with numbers as text; one nation in five has some that are none."""
+    rows = B.table(spark, sf, "lineitem").join(B.table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(B.table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    bad = F.when((F.col("l_orderkey") % 17 == 0) & (F.col("n_nationkey") % 5 == 0), "x").otherwise("")
+    return rows.select(F.col("n_name").alias("species"), "l_orderkey", "l_linenumber", F.concat(F.col("l_quantity").cast("long").cast("string"), F.lit(".5")).alias("bitscore"), F.concat(F.col("l_partkey").cast("string"), bad).alias("aln_len"))
+
+
+SPOILED = """spoiled AS (SELECT n_name AS species, l_orderkey, l_linenumber, concat(CAST(l_quantity AS BIGINT), '.5') AS bitscore, concat(l_partkey, CASE WHEN l_orderkey % 17 = 0 AND n_nationkey % 5 = 0 THEN 'x' ELSE '' END) AS aln_len
+    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey),
+bad AS (SELECT species, count(*) AS rows, count(*) FILTER (WHERE aln_len LIKE '%x') AS bad_rows, concat('aln_len: ', min(aln_len) FILTER (WHERE aln_len LIKE '%x')) AS reason FROM spoiled GROUP BY species)"""
+
+
+@query(f"""WITH {SPOILED} SELECT species, l_orderkey, l_linenumber, CAST(bitscore AS DOUBLE) AS bitscore, CAST(aln_len AS BIGINT) AS aln_len FROM spoiled
+    WHERE species IN (SELECT species FROM bad WHERE bad_rows = 0)""")
+def cast_by_species(spark, sf):
+    return species.cast_by_species(_spoiled(spark, sf))[0]
+
+
+@query(f"""WITH {SPOILED}, names AS (SELECT n_name AS species FROM nation WHERE n_nationkey <> 1 UNION SELECT concat('Mus ', lower(r_name)) FROM region)
+    SELECT species, CASE WHEN rows IS NULL THEN 'missing' WHEN bad_rows > 0 THEN 'rejected' ELSE 'taken' END AS status, coalesce(rows, 0) AS rows, coalesce(bad_rows, 0) AS bad_rows,
+    CASE WHEN bad_rows > 0 THEN reason END AS reason FROM names LEFT JOIN bad USING (species)""")
+def species_report(spark, sf):
+    regions = B.table(spark, sf, "region").select(F.concat(F.lit("Mus "), F.lower("r_name")).alias("species"))
+    names = B.table(spark, sf, "nation").where("n_nationkey <> 1").select(F.col("n_name").alias("species")).union(regions)
+    return species.union_with_report(_spoiled(spark, sf), names)[1]
+
+
 @query(f"WITH {B.FINE} SELECT n_name AS species, domain, CAST(0 AS DOUBLE) AS bitscore, 'Z' AS incomplete, 'No Hit' AS incomplete_desc FROM nation CROSS JOIN (SELECT DISTINCT domain FROM cells)")
 def no_hit_grid(spark, sf):
     return reports.no_hit_grid(_nations(spark, sf), reports.distinct_values(B.fine(B.hits(spark, sf)), "domain"))

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from helixtable.functions import columns as C
 from helixtable.schemas import DOMAIN_FIELDS, HIT_FIELDS, RPS_FIELDS
+from helixtable.scratch import kept
 
 FASTA_FILES = "*.{fa,fasta,fas,fna,FA,FASTA,FAS,FNA}"
 
@@ -167,9 +168,9 @@ def species_from_files(spark: SparkSession, path: str, files: str = FASTA_FILES)
 def union_species(spark: SparkSession, path: str, names: DataFrame) -> DataFrame:
     """The rows of the listed species in a table written by species; a species without a folder (failed, or without hits) has none.
 
-    The list prunes the folders that are read, so that others cost nothing.
+    The list prunes the folders that are read, so that others cost nothing; it is written once, and Spark broadcasts it where it is small.
     """
-    return spark.read.parquet(path).join(F.broadcast(names.select("species").distinct()), "species", "left_semi")
+    return spark.read.parquet(path).join(kept(names.select("species").distinct()), "species", "left_semi")
 
 
 def species_present(spark: SparkSession, path: str, default: DataFrame) -> DataFrame:

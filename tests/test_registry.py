@@ -8,7 +8,7 @@ import pytest
 from helixtable.plans import registry
 
 SF = "/root/testdata/sf0.001"
-TABLES = "nation customer supplier part orders lineitem events documents benchmark"
+TABLES = "nation customer supplier part orders lineitem events documents benchmark region"
 
 
 @pytest.fixture(scope="module")
