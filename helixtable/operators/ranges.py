@@ -5,14 +5,12 @@ Coordinates are closed and start at 1. Ranges are flat columns, so that filters
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from helixtable.functions import columns as C
+from helixtable.scratch import kept
 
 #: Bases of a bin in which one task merges the ranges of a group.
 BIN = 1 << 20
@@ -41,42 +39,49 @@ def _islands(df: DataFrame, keys: list[str], min_gap: int, sums: list) -> DataFr
     return df.groupBy(*keys, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"), *sums).drop("_island")
 
 
-def _stitched(islands: DataFrame, by: list[str], min_gap: int, sums: list) -> DataFrame:
-    """Islands of bins (by, _bin) merged over the edges of the bins.
+def _reaching(rows: DataFrame, min_gap: int, size: int) -> DataFrame:
+    """_g, _bin and _reach: how far ranges of earlier bins reach, for the bins that they reach or touch. Only ranges that cross an edge count."""
+    crossing = rows.where(F.col("end") + min_gap >= (F.col("_bin") + 1) * size).groupBy("_g", "_bin").agg(F.max("end").alias("_reach"))
+    met = F.explode(F.sequence(F.col("_bin") + 1, F.floor((F.col("_reach") + min_gap) / size)))
+    return crossing.select("_g", met.alias("_bin"), "_reach").groupBy("_g", "_bin").agg(F.max("_reach").alias("_reach"))
+
+
+def _stitched(islands: DataFrame, reaching: DataFrame, min_gap: int, size: int, sums: list) -> DataFrame:
+    """Islands of bins (_g, _bin) merged over the edges of the bins; only those at edges move.
 
-    A window over one row for each bin says how far the bins before reach. Islands that start within that reach belong
-    to the island that reaches so far, which is the one that was opened last before the bin; all others open one.
+    What earlier bins reach is one island with whatever reaches so far, so a bin has at most two rows to stitch: all its islands that are
+    reached, and the last one where that goes beyond the bin without being reached. The join and the first grouping keep the bins' partitioning.
     """
-    earlier = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    same_bin = lambda a, b: reduce(and_, [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in [*by, "_bin"]])
-    bins = islands.groupBy(*by, "_bin").agg(F.max("end").alias("_end"))
-    bins = bins.select(*by, "_bin", F.max("_end").over(earlier).alias("_reach"))
-    df = islands.alias("i").join(bins.alias("b"), same_bin("i", "b")).select("i.*", "b._reach")
-    df = df.withColumn("_own", F.when(F.col("_reach").isNull() | (F.col("start") > F.col("_reach") + min_gap), F.col("start")))
-    opened = df.groupBy(*by, "_bin").agg(F.max("_own").alias("_last"))
-    opened = opened.select(*by, "_bin", F.last("_last", ignorenulls=True).over(earlier).alias("_open"))
-    df = df.alias("i").join(opened.alias("b"), same_bin("i", "b")).select("i.*", F.coalesce("i._own", "b._open").alias("_island"))
-    return df.groupBy(*by, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"), *sums).drop("_island")
+    df = islands.join(reaching, ["_g", "_bin"], "left")
+    reached = F.coalesce(F.col("start") <= F.col("_reach") + min_gap, F.lit(False))
+    edge = reached | (F.col("end") + min_gap >= (F.col("_bin") + 1) * size)
+    merged = [F.min("start").alias("start"), F.max("end").alias("end"), *sums]
+    edges = df.where(edge).withColumn("_reached", reached).groupBy("_g", "_bin", "_reached").agg(*merged)
+    moved = _islands(edges.drop("_bin", "_reached"), ["_g"], min_gap, sums)
+    return df.where(~edge).select(moved.columns).union(moved)
 
 
 def reduce_ranges(ranges: DataFrame, by: list[str] = GROUP, min_gap: int = 1, bin_size: int | None = BIN) -> DataFrame:
     """Overlapping or touching ranges of a group as one, with the mean bitscore and the number of members.
 
-    The mean is null if a member's score is. Ranges are merged within bins of their starts, of bin_size bases, and the islands then
-    over the bins' edges, with sums and counts travelling along: no task needs more of a group than a bin, or one
-    row for each of its bins. With bin_size=None one window runs over each whole group, which saves two shuffles where
-    groups are known to be small. Ranges without a chromosome or a coordinate are not merged: see split_valid().
+    The mean is null if a member's score is. Ranges are merged within bins of their starts, of bin_size bases, and the islands at the bins'
+    edges then over these, with sums and counts travelling along: no task needs more of a group than a bin, or two
+    rows for each of its bins. Whether any range crosses an edge is found out first; where none does, the bins' islands are the result.
+    With bin_size=None one window runs over each whole group. Ranges without a chromosome or a coordinate are not merged: see split_valid().
     """
     valid, _ = split_valid(ranges)
-    rows = valid.select(*by, "start", "end", F.col("bitscore").cast("double").alias("_s"), F.col("bitscore").isNull().cast("long").alias("_nulls"), F.lit(1).cast("long").alias("_n"))
+    # groups are compared as structs, which are equal also where they hold nulls
+    rows = valid.select(F.struct(*by).alias("_g"), "start", "end", F.col("bitscore").cast("double").alias("_s"), F.col("bitscore").isNull().cast("long").alias("_nulls"), F.lit(1).cast("long").alias("_n"))
     sums = [F.sum("_s").alias("_s"), F.sum("_nulls").alias("_nulls"), F.sum("_n").alias("_n")]
     if bin_size:
         binned = rows.withColumn("_bin", F.floor(F.col("start") / bin_size))
-        merged = _stitched(_islands(binned, [*by, "_bin"], min_gap, sums), by, min_gap, sums)
+        merged, reaching = _islands(binned, ["_g", "_bin"], min_gap, sums), kept(_reaching(binned, min_gap, bin_size))
+        if reaching.limit(1).count():
+            merged = _stitched(merged, reaching, min_gap, bin_size, sums)
     else:
-        merged = _islands(rows, by, min_gap, sums)
+        merged = _islands(rows, ["_g"], min_gap, sums)
     return merged.select(
-        *by, "start", "end", (F.col("end") - F.col("start") + 1).alias("width"), F.when(F.col("_nulls") == 0, F.col("_s") / F.col("_n")).alias("mean_bitscore"), F.col("_n").alias("members")
+        *[F.col("_g")[c].alias(c) for c in by], "start", "end", (F.col("end") - F.col("start") + 1).alias("width"), F.when(F.col("_nulls") == 0, F.col("_s") / F.col("_n")).alias("mean_bitscore"), F.col("_n").alias("members")
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixtable.schemas import DOMAIN_FIELDS
+from helixtable.scratch import kept
 
 
 def _unless_empty(df: DataFrame, path: str, mode: str, written: DataFrame | None = None) -> bool:
@@ -27,10 +28,17 @@ def _unless_empty(df: DataFrame, path: str, mode: str, written: DataFrame | None
     return not empty
 
 
+def _dealt(df: DataFrame, by: str) -> DataFrame:
+    """Rows of one value of by together, in parts of Spark's advisory size: few files a folder, and many tasks for a large one."""
+    return df.hint("rebalance", by)
+
+
 def write_parquet(df: DataFrame, path: str, by: str | None = "species", mode: str = "errorifexists") -> bool:
     """df as Parquet, in folders by species; nothing for an empty table. Whether it wrote, as for all writers of tables."""
-    w = df.write.mode(mode)
-    (w.partitionBy(by) if by else w).parquet(path)
+    if by:
+        _dealt(df, by).write.mode(mode).partitionBy(by).parquet(path)
+    else:
+        df.write.mode(mode).parquet(path)
     return _unless_empty(df, path, mode)
 
 
@@ -65,7 +73,7 @@ def wrapped(sequence: Column, width: int = 60) -> Column:
 def write_fasta(records: DataFrame, path: str, mode: str = "errorifexists") -> bool:
     """records(species, header, sequence) as FASTA in a folder for each species, lines of 60 letters."""
     text = F.concat(F.lit(">"), "header", F.lit("\n"), wrapped(F.col("sequence")))
-    records.select("species", text.alias("value")).write.mode(mode).partitionBy("species").text(path)
+    _dealt(records.select("species", text.alias("value")), "species").write.mode(mode).partitionBy("species").text(path)
     return _unless_empty(records, path, mode, records.sparkSession.read.text(path))
 
 
@@ -88,13 +96,14 @@ def write_gff3(ranges: DataFrame, path: str, mode: str = "errorifexists") -> boo
     """A folder for each species, the version line first and ranges in order.
 
     Rows are dealt by ranges of species and place, so a large species is written by many tasks: its files, in the order of their
-    names, are one GFF3 file, and the first of them has the version line. A small species is one file.
+    names, are one GFF3 file, and the first of them has the version line. A small species is one file. The lines are written once before,
+    so that the samples for the ranges do not compute them again.
     """
-    lines = gff3_lines(ranges)
-    heads = ranges.select("species").distinct().select("species", F.lit(None).cast("string").alias("_c"), F.lit(None).cast("long").alias("_s"), F.lit("##gff-version 3").alias("value"))
+    lines = kept(gff3_lines(ranges))
+    heads = lines.select("species").distinct().select("species", F.lit(None).cast("string").alias("_c"), F.lit(None).cast("long").alias("_s"), F.lit("##gff-version 3").alias("value"))
     both = heads.unionByName(lines).repartitionByRange("species", "_c", "_s", "value").sortWithinPartitions("species", "_c", "_s", "value")
     both.select("species", "value").write.mode(mode).partitionBy("species").text(path)
-    return _unless_empty(ranges, path, mode, ranges.sparkSession.read.text(path))
+    return _unless_empty(lines, path, mode, lines.sparkSession.read.text(path))
 
 
 def append_provenance(df: DataFrame, path: str) -> None:

@@ -1,5 +1,6 @@
 """Edge semantics of ranges, reports, readers and writers on hand-made rows."""
 
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -58,6 +59,37 @@ def test_ranges_have_the_properties(spark, rows, bins):
     assert again.count() == got.count()
 
 
+@pytest.mark.parametrize("size, gap", [(16, 1), (64, 0), (7, 5)])
+def test_ranges_over_many_bins(spark, size, gap):
+    """Groups, also with nulls in their keys, whose ranges cross no edge, one, or very many of the bins."""
+    rng = random.Random(size)
+    rows = [(d, rng.choice(["+", None]), a, a + rng.choice([0, 3, 10, 40])) for d in "abcdef" for a in rng.choices(range(-50, 3000), k=120)]
+    rows += [("a", "+", 100, 1900), ("b", None, 5, 2000), ("b", None, 1990, 2500), ("g", "+", 3, 4), ("h", None, 15, 16)]
+    df = spark.createDataFrame([("s", d, None, "c", x, a, e, 1.0) for d, x, a, e in rows], "species string, domain string, incomplete string, chromosome string, strand string, start long, end long, bitscore double").repartition(5)
+    got = defaultdict(list)
+    for r in ranges.reduce_ranges(df, min_gap=gap, bin_size=size).collect():
+        got[r.domain, r.strand].append([r.start, r.end, r.members])
+    assert {k: sorted(v) for k, v in got.items()} == {k: merged([(a, e) for d, x, a, e in rows if (d, x) == k], gap) for k in {r[:2] for r in rows}}
+
+
+def test_files_are_few_and_of_bounded_size(spark, tmp_path):
+    """A folder for each species with one file from many tasks, and several where a species is large."""
+    rows = spark.range(30_000).selectExpr("if(id % 3 = 0, concat('s', id % 7), 'large') as species", "concat('h', id) as header", "repeat(substr(sha(cast(id as string)), 1, 10), 20) as sequence").repartition(20)
+    assert W.write_fasta(rows, str(tmp_path / "fa")) and W.write_parquet(rows, str(tmp_path / "pq"))
+    for kind, suffix in (("fa", "txt"), ("pq", "parquet")):
+        counts = Counter(f.parent.name for f in (tmp_path / kind).rglob(f"*.{suffix}"))
+        assert len(counts) == 8 and max(counts.values()) == 1
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        W.write_fasta(rows, str(tmp_path / "more"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    counts = Counter(f.parent.name for f in (tmp_path / "more").rglob("*.txt"))
+    # species that share a partition with a large one are split with it; 20 tasks would write 160 files
+    assert counts["species=large"] > 2 and counts.total() < 40
+
+
 def test_gap_of_one_base_separates(spark):
     df = spark.createDataFrame([("s", "d", "-", "c", "+", a, b, 1.0) for a, b in [(1, 10), (11, 20), (22, 30), (2, 3)]], "species string, domain string, incomplete string, chromosome string, strand string, start long, end long, bitscore double")
     assert sorted((r.start, r.end) for r in ranges.reduce_ranges(df).collect()) == [(1, 20), (22, 30)]
