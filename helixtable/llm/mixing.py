@@ -137,9 +137,9 @@ def _rounded(rows: DataFrame, weights: tuple[int, ...], most: int, seed: int) ->
     units = (
         rows.withColumn("band", band).alias("r")
         .join(plan.alias("p"), F.col("r.source").eqNullSafe(F.col("p.source")) & (F.col("r.band") == F.col("p.band")))
-        .select("row", "size", "u", "source_no", "p.band", "source_size", "target", "whole", "p.p", F.pmod(F.col("u"), F.col("groups")).cast("int").alias("salt"))
+        .select("row", "size", "u", "source_no", "p.band", "source_size", "target", "whole", "groups", "p.p", F.pmod(F.col("u"), F.col("groups")).cast("int").alias("salt"))
     )
-    first = stash(_round_groups(units, [*key, "source_size", "target", "whole"], F.struct("size", "u", "p", "row"), seed))
+    first = stash(_round_groups(units, [*key, "source_size", "target", "whole", "groups"], F.struct("size", "u", "p", "row"), seed))
 
     # residuals meet others of their band first, then, with one left for each band, those of twice as wide a band
     rest = first.select(*key, F.xxhash64(*key).alias("u"), F.col("p"), F.element_at("units", F.col("i") + 1)["size"].alias("size"), F.col("band").alias("wide")).where(F.col("p") > EPS)
@@ -164,16 +164,16 @@ def _rounded(rows: DataFrame, weights: tuple[int, ...], most: int, seed: int) ->
     last = rest.select(*key, (_unit(seed, F.col("u")) < F.col("p")).alias("chosen"))
     for d in done:
         last = last.unionByName(d)
-    out = first.join(last, key, "left").select("source_no", "band", "source_size", "target", "whole", "picks", "i", "p", "chosen", F.posexplode("units").alias("at", "x"))
+    out = first.join(last, key, "left").select("source_no", "band", "source_size", "target", "whole", "groups", "picks", "i", "p", "chosen", F.posexplode("units").alias("at", "x"))
     one_more = F.array_contains("picks", F.col("at")) | ((F.col("at") == F.col("i")) & F.coalesce("chosen", F.lit(False)))
-    rounded = stash(out.select("source_no", "band", "x.row", "x.u", "x.size", "source_size", "target", "whole", (F.col("x.p") > EPS).alias("open"), one_more.alias("more")))
-    flips = _corrections(rounded, plan.select("source_no", "band", "groups")).withColumn("flip", F.lit(True))
+    rounded = stash(out.select("source_no", "band", "x.row", "x.u", "x.size", "source_size", "target", "whole", "groups", (F.col("x.p") > EPS).alias("open"), one_more.alias("more")))
+    flips = _corrections(rounded).withColumn("flip", F.lit(True))
     flips = F.broadcast(flips) if flips.count() <= JUMPS else flips
     more = F.col("more") != F.coalesce("flip", F.lit(False))
     return rounded.join(flips, ["source_no", "u"], "left").select("row", "u", "size", "source_size", "target", (F.col("whole") + more.cast("int")).alias("copies"))
 
 
-def _corrections(rounded: DataFrame, groups: DataFrame) -> DataFrame:
+def _corrections(rounded: DataFrame) -> DataFrame:
     """source_no and u of documents whose last copy is taken or left the other way, so that their source's words come near its target.
 
     The tree keeps numbers of documents, so the words of a source are off by what documents of one group differ in size, and by the few
@@ -185,7 +185,7 @@ def _corrections(rounded: DataFrame, groups: DataFrame) -> DataFrame:
     off = rounded.groupBy("source_no").agg((words - F.first("target")).alias("off"))
     # about 16 * PICKED of a band at most get to the ranks: a group of the tree has GROUP documents or so
     luck = _unit(11, F.col("u")) * F.col("groups") * GROUP < 16.0 * PICKED
-    near = rounded.where("open and size > 0").join(groups, ["source_no", "band"]).where(luck).select("source_no", "band", "more", "u", "size")
+    near = rounded.where("open and size > 0").where(luck).select("source_no", "band", "more", "u", "size")
     rank = F.row_number().over(Window.partitionBy("source_no", "band", "more").orderBy(F.xxhash64(F.lit(12), F.col("u")), "u"))
     some = near.withColumn("rank", rank).where(F.col("rank") <= PICKED)
     lists = some.groupBy("source_no").agg(F.sort_array(F.collect_list(F.struct("size", "u", "more")), False).alias("units")).join(off, "source_no")
