@@ -295,31 +295,31 @@ def tile_frame(spark, sf):
 # -- species
 
 
-def _spoiled(spark, sf):
+def _misread(spark, sf):
     """Hits with numbers as text; one nation in five has some that are none."""
     rows = B.table(spark, sf, "lineitem").join(B.table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(B.table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     bad = F.when((F.col("l_orderkey") % 17 == 0) & (F.col("n_nationkey") % 5 == 0), "x").otherwise("")
     return rows.select(F.col("n_name").alias("species"), "l_orderkey", "l_linenumber", F.concat(F.col("l_quantity").cast("long").cast("string"), F.lit(".5")).alias("bitscore"), F.concat(F.col("l_partkey").cast("string"), bad).alias("aln_len"))
 
 
-SPOILED = """spoiled AS (SELECT n_name AS species, l_orderkey, l_linenumber, concat(CAST(l_quantity AS BIGINT), '.5') AS bitscore, concat(l_partkey, CASE WHEN l_orderkey % 17 = 0 AND n_nationkey % 5 = 0 THEN 'x' ELSE '' END) AS aln_len
+MISREAD = """spoiled AS (SELECT n_name AS species, l_orderkey, l_linenumber, concat(CAST(l_quantity AS BIGINT), '.5') AS bitscore, concat(l_partkey, CASE WHEN l_orderkey % 17 = 0 AND n_nationkey % 5 = 0 THEN 'x' ELSE '' END) AS aln_len
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey),
 bad AS (SELECT species, count(*) AS rows, count(*) FILTER (WHERE aln_len LIKE '%x') AS bad_rows, concat('aln_len: ', min(aln_len) FILTER (WHERE aln_len LIKE '%x')) AS reason FROM spoiled GROUP BY species)"""
 
 
-@query(f"""WITH {SPOILED} SELECT species, l_orderkey, l_linenumber, CAST(bitscore AS DOUBLE) AS bitscore, CAST(aln_len AS BIGINT) AS aln_len FROM spoiled
+@query(f"""WITH {MISREAD} SELECT species, l_orderkey, l_linenumber, CAST(bitscore AS DOUBLE) AS bitscore, CAST(aln_len AS BIGINT) AS aln_len FROM spoiled
     WHERE species IN (SELECT species FROM bad WHERE bad_rows = 0)""")
 def cast_by_species(spark, sf):
-    return species.cast_by_species(_spoiled(spark, sf))[0]
+    return species.cast_by_species(_misread(spark, sf))[0]
 
 
-@query(f"""WITH {SPOILED}, names AS (SELECT n_name AS species FROM nation WHERE n_nationkey <> 1 UNION SELECT concat('Mus ', lower(r_name)) FROM region)
+@query(f"""WITH {MISREAD}, names AS (SELECT n_name AS species FROM nation WHERE n_nationkey <> 1 UNION SELECT concat('Mus ', lower(r_name)) FROM region)
     SELECT species, CASE WHEN rows IS NULL THEN 'missing' WHEN bad_rows > 0 THEN 'rejected' ELSE 'taken' END AS status, coalesce(rows, 0) AS rows, coalesce(bad_rows, 0) AS bad_rows,
     CASE WHEN bad_rows > 0 THEN reason END AS reason FROM names LEFT JOIN bad USING (species)""")
 def species_report(spark, sf):
     regions = B.table(spark, sf, "region").select(F.concat(F.lit("Mus "), F.lower("r_name")).alias("species"))
     names = B.table(spark, sf, "nation").where("n_nationkey <> 1").select(F.col("n_name").alias("species")).union(regions)
-    return species.union_with_report(_spoiled(spark, sf), names)[1]
+    return species.union_with_report(_misread(spark, sf), names)[1]
 
 
 @query(f"WITH {B.FINE} SELECT n_name AS species, domain, CAST(0 AS DOUBLE) AS bitscore, 'Z' AS incomplete, 'No Hit' AS incomplete_desc FROM nation CROSS JOIN (SELECT DISTINCT domain FROM cells)")
@@ -381,18 +381,18 @@ SEED_SQL = KMERS + """, s AS (SELECT doc_id AS subject, substr(text, CAST(i AS B
 seeds AS (SELECT query, q_pos, subject, s_pos FROM q JOIN s USING (kmer))"""
 
 
-def _texts(spark, sf, name, key, as_id):
+def _sequences(spark, sf, name, key, as_id):
     return B.spread(B.table(spark, sf, name).select(F.col(key).alias(as_id), F.col("text").alias("sequence")))
 
 
 @query(f"WITH {KMERS} SELECT query, kmer, q_pos FROM q")
 def kmers(spark, sf):
-    return seeds.kmers(_texts(spark, sf, "benchmark", "item_id", "query"), K, "query").withColumnRenamed("pos", "q_pos")
+    return seeds.kmers(_sequences(spark, sf, "benchmark", "item_id", "query"), K, "query").withColumnRenamed("pos", "q_pos")
 
 
 @query(f"WITH {SEED_SQL} SELECT query, q_pos, subject, s_pos FROM seeds")
 def seed_join(spark, sf):
-    return seeds.seeds_of(_texts(spark, sf, "benchmark", "item_id", "query"), _texts(spark, sf, "documents", "doc_id", "subject"), K)
+    return seeds.seeds_of(_sequences(spark, sf, "benchmark", "item_id", "query"), _sequences(spark, sf, "documents", "doc_id", "subject"), K)
 
 
 @query(f"WITH {SEED_SQL} SELECT query, subject, s_pos - q_pos AS diagonal, count(*) AS seed_count, min(s_pos) AS s_from, max(s_pos) AS s_to FROM seeds GROUP BY ALL HAVING count(*) >= 3")
