@@ -110,6 +110,6 @@ def clusters(docs: DataFrame, keep: list[str]) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each group, with the columns of docs: the one with the smallest doc_id (nulls last, then by text hash)."""
     own = fresh(docs, "simhash_name")  # a doc_id may stand for several texts
-    key = docs.withColumn(own, F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.xxhash64("text")).alias("k"), F.xxhash64("text").alias("hash")))
+    key = docs.withColumn(own, F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("k"), F.xxhash64("text").alias("hash")))
     best = clusters(key, [own]).groupBy("component").agg(F.min(own).alias(own)).select(own)
     return key.join(best, own, "left_semi").dropDuplicates([own]).select(docs.columns)

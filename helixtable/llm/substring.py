@@ -32,6 +32,7 @@ import zstandard
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 from xxhash import xxh64_digest
 
 from helixtable.llm.common import fresh, slices, stash
@@ -221,13 +222,14 @@ def candidate_runs(docs: DataFrame, shared: Broadcast, width_bits: int, hashes:
                     cols |= {"rid": pa.array(rid[row]), "at": pa.array((th[row] << 32) | (at[first] - c.first[doc]))}
                 yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
-    return docs.select(*row_id(), "text").mapInArrow(part, "a long, b long, n int, " + ("g long, w array<long>" if hashes else "rid long, at long"))
+    return docs.select(*row_id(docs), "text").mapInArrow(part, "a long, b long, n int, " + ("g long, w array<long>" if hashes else "rid long, at long"))
 
 
-def row_id() -> list:
-    """rid and th name a row: its identifier (or its text's hash where that is null) and 31 bits of its text's hash."""
+def row_id(docs: DataFrame) -> list:
+    """rid and th name a row: its identifier (its hash where that is no integer, the text's where it is null) and 31 bits of its text's hash."""
     h = F.xxhash64("text")
-    return [F.coalesce(F.col("doc_id").cast("long"), h).alias("rid"), F.shiftrightunsigned(h, 33).alias("th")]
+    name = F.col("doc_id").cast("long") if isinstance(docs.schema["doc_id"].dataType, IntegralType) else F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id"))
+    return [F.coalesce(name, h).alias("rid"), F.shiftrightunsigned(h, 33).alias("th")]
 
 
 def repeated_windows(docs: DataFrame, width_bits: int = WIDTH_BITS) -> DataFrame:
@@ -279,7 +281,7 @@ def strip_repeats(docs: DataFrame, width_bits: int = WIDTH_BITS) -> DataFrame:
     old = [c for c in docs.columns if c not in new]
     spans = repeated_windows(docs, width_bits)
     rid, th, at = (fresh(docs, f"{n}_of_row") for n in ("rid", "th", "spans"))
-    keyed = docs.select(*old, *[c.alias(n) for c, n in zip(row_id(), (rid, th))])
+    keyed = docs.select(*old, *[c.alias(n) for c, n in zip(row_id(docs), (rid, th))])
     s = spans.select(F.col("rid").alias(rid), F.col("th").alias(th), F.col("spans").alias(at))
     joined = squeezed(keyed).join(s, [rid, th], "left").drop(rid, th)
 
