@@ -178,8 +178,8 @@ def _corrections(rounded: DataFrame) -> DataFrame:
 
     The tree keeps numbers of documents, so the words of a source are off by what documents of one group differ in size, and by the few
     that were settled among bands: little beside many documents, much beside few. Of each source and band some documents, picked by their
-    hash, are candidates; from the largest to the smallest, the one whose change brings the sum nearer is changed, and of TRIES
-    runs that begin at the first, second and further candidates the best one counts. A source's candidates are at most 2 * PICKED for each band of sizes, in one row.
+    hash, are candidates; from the largest to the smallest, the one whose change brings the sum nearer is changed. The best
+    counts of such runs without and with a change of one of the TRIES largest candidates that comes first whatever it does. A source's candidates are at most 2 * PICKED for each band of sizes, in one row.
     """
     words = F.sum(F.col("size") * (F.col("whole") + F.col("more").cast("int")))
     off = rounded.groupBy("source_no").agg((words - F.first("target")).alias("off"))
@@ -190,13 +190,22 @@ def _corrections(rounded: DataFrame) -> DataFrame:
     some = near.withColumn("rank", rank).where(F.col("rank") <= PICKED)
     lists = some.groupBy("source_no").agg(F.sort_array(F.collect_list(F.struct("size", "u", "more")), False).alias("units")).join(off, "source_no")
 
-    def step(a: Column, x: Column) -> Column:
-        then = a["off"] + F.when(x["more"], -x["size"]).otherwise(x["size"])
-        nearer = F.abs(then) < F.abs(a["off"])
-        return F.struct(F.when(nearer, then).otherwise(a["off"]).alias("off"), F.when(nearer, F.concat(a["flips"], F.array(x["u"]))).otherwise(a["flips"]).alias("flips"))
+    change = lambda x: F.when(x["more"], -x["size"]).otherwise(x["size"])
 
-    start = F.struct(F.col("off").cast("double").alias("off"), F.array().cast("array<bigint>").alias("flips"))
-    tries = F.transform(F.sequence(F.lit(1), F.lit(TRIES)), lambda first: F.aggregate(F.slice("units", first, F.size("units")), start, step))
+    def run(first: Column) -> Column:
+        """Words off and changes, where the candidate of that number is changed whatever it does; with 0, none is."""
+        forced = F.get("units", first - 1)
+
+        def step(a: Column, x: Column) -> Column:
+            then = a["off"] + change(x)
+            nearer = (F.abs(then) < F.abs(a["off"])) & ~x["u"].eqNullSafe(forced["u"])
+            return F.struct(F.when(nearer, then).otherwise(a["off"]).alias("off"), F.when(nearer, F.concat(a["flips"], F.array(x["u"]))).otherwise(a["flips"]).alias("flips"))
+
+        off = F.col("off").cast("double") + F.coalesce(change(forced), F.lit(0))
+        flips = F.when(forced.isNull(), F.array().cast("array<bigint>")).otherwise(F.array(forced["u"]))
+        return F.aggregate("units", F.struct(off.alias("off"), flips.alias("flips")), step)
+
+    tries = F.transform(F.sequence(F.lit(0), F.least(F.lit(TRIES), F.size("units"))), run)
     best = F.array_min(F.transform(tries, lambda t: F.struct(F.abs(t["off"]).alias("off"), t["flips"].alias("flips"))))
     return settled(lists.select("source_no", F.explode(best["flips"]).alias("u")))
 
