@@ -11,7 +11,7 @@ can reach on its diagonal, and no more than these are held together. Queries are
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -131,10 +131,11 @@ def _extensions(rows: list[tuple], scoring: Scoring, drop: int) -> Iterator[np.n
     yield [t[i:j] for t, i, j in zip(theirs, (low - left - base).tolist(), (high + right - base).tolist())]
 
 
-def extended(aligned: DataFrame, by: list[str], scoring: Scoring, drop: int) -> DataFrame:
+def extended(aligned: DataFrame, by: list[str], scoring: Scoring, drop: int, read: Callable[[pa.RecordBatch], list[str]] | None = None) -> DataFrame:
     """by, q_start, q_end, seed_count, score, aln_len, matches, mismatches, pct_identity and subject_sequence of the hits.
 
     aligned(by, q_from, q_to, seed_count, q_text, s_text, shift): letter r of the query lies on letter r + shift of s_text. Unknown letters count as mismatches.
+    read: gives the letters instead of s_text, from all columns of a batch of aligned.
     """
     keep = [*by, "q_from", "seed_count"]
     fields = ", ".join(f"`{c}` {aligned.schema[c].dataType.simpleString()}" for c in keep)
@@ -142,7 +143,8 @@ def extended(aligned: DataFrame, by: list[str], scoring: Scoring, drop: int) ->
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, at, cells = [], 0, 0
-            for i, row in enumerate(zip(*(b.column(c).to_pylist() for c in ("q_from", "q_to", "q_text", "s_text", "shift")))):
+            q_from, q_to, q_text, shift = (b.column(c).to_pylist() for c in ("q_from", "q_to", "q_text", "shift"))
+            for i, row in enumerate(zip(q_from, q_to, q_text, read(b) if read else b.column("s_text").to_pylist(), shift)):
                 rows.append(row)
                 cells = max(cells, len(row[2]) + 1)
                 if cells * len(rows) >= CELLS or i + 1 == b.num_rows:
@@ -150,7 +152,7 @@ def extended(aligned: DataFrame, by: list[str], scoring: Scoring, drop: int) ->
                     yield pa.RecordBatch.from_arrays([*(b.column(c).slice(at, len(rows)) for c in keep), *found], names=[*keep, *HIT])
                     rows, at, cells = [], i + 1, 0
 
-    wide = aligned.select(*keep, "q_to", "q_text", "s_text", "shift")
+    wide = aligned if read else aligned.select(*keep, "q_to", "q_text", "s_text", "shift")
     df = wide.mapInArrow(part, f"{fields}, q_start long, q_end long, score long, aln_len long, matches long, subject_sequence string")
     w = Window.partitionBy(*by).orderBy("q_start", F.desc("q_end"), "q_from")
     reached = F.max("q_end").over(w.rowsBetween(Window.unboundedPreceding, -1))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from helixtable.operators.extension import PROTEIN, WIDTH, Scoring, extended, runs, with_letters
 from helixtable.operators.lookup import SENT, Wanted, held
-from helixtable.operators.seeds import AMINO, amino, reverse_complement, seed_join
+from helixtable.operators.seeds import AMINO, seed_join
 
 RESIDUES = "".join(sorted(set(AMINO)))
 MOST_K = 12
@@ -24,6 +24,9 @@ BASE = np.full(256, 4, dtype=np.int64)
 BASE[np.frombuffer(b"TCAG", dtype=np.uint8)] = np.arange(4)
 CODON = np.array([RESIDUES.index(a) for a in AMINO], dtype=np.int64)
 PAIRED = np.array([2, 3, 0, 1, 4], dtype=np.int64)
+#: Residues by number, the last one for unknown ones.
+LETTERS = np.frombuffer((RESIDUES + "X").encode(), dtype=np.uint8)
+COMPLEMENT = str.maketrans("ACGT", "TGCA")
 LETTER = np.full(256, -1, dtype=np.int64)
 LETTER[np.frombuffer(RESIDUES.encode(), dtype=np.uint8)] = np.arange(len(RESIDUES))
 
@@ -64,6 +67,15 @@ def _places(dna: str, k: int) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
     yield "-", len(bases) - 1 - at, number[at]
 
 
+def _proteins(b: pa.RecordBatch) -> list[str]:
+    """Residues from the letter behind skip on, of each row's letters or their reverse complement."""
+    rows = zip(*(b.column(c).to_pylist() for c in ("letters", "minus", "skip")))
+    dna = [(t[::-1].translate(COMPLEMENT) if minus else t)[skip:] for t, minus, skip in rows]
+    read = LETTERS[_residues(BASE[np.frombuffer("".join(dna).encode("ascii", "replace"), dtype=np.uint8)])]
+    starts = np.cumsum([0, *map(len, dna)]).tolist()
+    return [read[i : i + len(d) // 3 * 3 : 3].tobytes().decode() if len(d) > 2 else "" for i, d in zip(starts, dna)]
+
+
 def protein_kmers(queries: DataFrame, k: int) -> DataFrame:
     """query, kmer (a number) and q_pos of queries(query, sequence)."""
 
@@ -131,10 +143,9 @@ def translated_search(queries: DataFrame, pieces: DataFrame, k: int = 6, width:
     residue = F.greatest(F.lit(1), F.ceil(F.when(plus, F.col("letters_from") - d).otherwise(d - F.col("last")) / 3))
     reach = reach.withColumn("last", last).withColumn("residue", residue)
     skipped = F.when(plus, d + F.col("residue") * 3 - F.col("letters_from")).otherwise(F.col("last") - d + F.col("residue") * 3)
-    dna = F.substring(F.when(plus, F.col("letters")).otherwise(reverse_complement(F.col("letters"))), (skipped + 1).cast("int"), F.lit(2**31 - 1))
-    reach = reach.withColumn("dna", dna)
-    aligned = reach.withColumn("s_text", amino(F.col("dna"), 0)).withColumn("shift", 1 - F.col("residue")).join(queries.select("query", F.col("sequence").alias("q_text")), "query")
-    hits = extended(aligned, by, scoring, drop)
+    wide = reach.select(*by, "q_from", "q_to", "seed_count", "letters", (~plus).alias("minus"), skipped.cast("int").alias("skip"), (1 - F.col("residue")).alias("shift"))
+    aligned = wide.join(queries.select("query", F.col("sequence").alias("q_text")), "query")
+    hits = extended(aligned, by, scoring, drop, _proteins)
     start, end = F.col("q_start") * 3, F.col("q_end") * 3
     places = {"s_start": F.when(plus, d + start).otherwise(d - start), "s_end": F.when(plus, d + end + 2).otherwise(d - end - 2)}
     columns = ["q_start", "q_end", "s_start", "s_end", "aln_len", "matches", "mismatches", "pct_identity", "score", "seed_count", "subject_sequence"]
