@@ -28,7 +28,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One of each group of documents whose 5-word shingles are alike by 0.8 or more: the smallest doc_id, nulls last, then by text hash.
 
-    Null and blank texts are one group; a row that repeats the identifier and the text of the one that stays goes.
+    SimHash finds the copies whose fingerprints are close; texts that it leaves in different groups are compared by shingles. Null and blank texts are one group; a row that repeats the identifier and the text of the one that stays goes.
     """
     ship(spark)
     return shingle_copies.keep_one(docs)

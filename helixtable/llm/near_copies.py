@@ -1,4 +1,8 @@
-"""Near copies by word shingles: texts whose sets of SHINGLE-word shingles have a Jaccard similarity of at least SIMILARITY.
+"""Near copies by SimHash, completed by word shingles: texts whose sets of SHINGLE-word shingles have a Jaccard similarity of at least SIMILARITY.
+
+SimHash fingerprints of these shingles link each text to the closest ones that a multi-index finds, which are verified
+on their whole sets. Fingerprints of near copies may differ by more bits than an index can look up, so texts that are in different groups
+after that are compared further.
 
 Exact, by prefixes: under any common order of all shingles, two sets of that similarity share one among the first
 n - ceil(SIMILARITY n) + 1 of each. The order puts shingles that a sample of documents has often last, so that few
@@ -25,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixtable.llm.common import SPACE, components, fresh, settled, stash
-from helixtable.llm.simhash import shingle_hashes
+from helixtable.llm.simhash import closest, shingle_hashes, with_fingerprints
 
 SHINGLE, SIMILARITY = 5, 0.8
 SAMPLE, SHARE, COMMON, REPS, ROWS, FEW = 4000, 8, 500_000, 4, 1000, 200_000
@@ -164,11 +168,25 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return both.mapInArrow(part, ", ".join(f"{c} long" for c in names))
 
 
+def simhash_links(texts: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) of nodes of texts(node, text): those of one fingerprint to the least of them, and these to the closest fingerprints', where verified."""
+    nodes = settled(with_fingerprints(texts, ["node"], SHINGLE).groupBy("node").agg(F.first("fp").alias("fp")))
+    fps = settled(nodes.groupBy("fp").agg(F.min("node").alias("head")))
+    same = nodes.join(fps, "fp").where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    head = lambda x: fps.select(F.col("fp").alias(x), F.col("head").alias(f"h{x}"))
+    near = closest(fps.select("fp")).join(head("a"), "a").join(head("b"), "b").select(F.col("ha").alias("a"), F.col("hb").alias("b"))
+    pairs = settled(same.union(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    return _verified(pairs, texts, similarity)
+
+
 def groups(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """node and component of the nodes of texts(node, text) that are linked to another; all others are alone."""
+    near = settled(simhash_links(texts, similarity))
+    named = settled(components(None, near))
     entries = stash(prefixes(texts, common_shingles(texts), similarity))
     shared = settled(entries.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key"))
-    buckets = stash(entries.join(_few(shared), "key", "left_semi").distinct().withColumn("component", F.col("node")))
+    buckets = entries.join(_few(shared), "key", "left_semi").distinct().join(_few(named), "node", "left")
+    buckets = stash(buckets.withColumn("component", F.coalesce("component", "node")))
 
     # a text with few changes of its own shares the most keys and is near to most of its group: of each key, the best of
     # all, of either half by hash, and one by chance
@@ -178,9 +196,9 @@ def groups(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     first = [F.min(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], F.xxhash64("node"), "node", "n", "pos", "component")) for order in orders]
     entry = [F.struct(*[f[c].alias(c) for c in ("node", "n", "pos", "component")]) for f in first]
     reps = buckets.join(shares, "node").groupBy("key").agg(F.array_distinct(F.array(*entry)).alias("r")).select("key", F.explode("r").alias("r")).select("key", "r.*")
-    pairs = settled(_pairs(reps, buckets, F.col("o.node") != F.col("x.node"), similarity))
+    pairs = settled(_pairs(reps, buckets, F.col("o.component") != F.col("x.component"), similarity))
     links = settled(_verified(pairs, texts, similarity).select("a", "b"))
-    named = components(None, links)
+    named = components(None, near.union(links))
 
     now = buckets.drop("component").join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
     apart = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")

@@ -24,11 +24,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from xxhash import xxh64_digest
 
 from helixtable.llm.common import components, fresh, settled
 
 SEED, SHINGLE, BITS, HOT = 42, 3, 2, 32
+#: Bits within which closest() looks, and the parts of a fingerprint that it looks up: lowest bit and width.
+WIDE, PARTS = 5, ((0, 22), (22, 21), (43, 21))
 
 
 def shingle_hashes(text: str | None, size: int) -> bytes:
@@ -43,9 +46,9 @@ def shingle_hashes(text: str | None, size: int) -> bytes:
     return b"".join([xxh64_digest(line[a : b - 1], SEED) for a, b in zip(at, at[size:])])
 
 
-def fingerprint(text: str | None) -> int:
+def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     """Bit majority over the hashes of a text's word shingles, as a signed 64-bit number."""
-    hashes = shingle_hashes(text, SHINGLE)
+    hashes = shingle_hashes(text, size)
     if not hashes:
         return 0
     h = np.frombuffer(hashes, dtype=np.uint8).reshape(-1, 8)
@@ -55,14 +58,14 @@ def fingerprint(text: str | None) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(h)).tobytes(), "big", signed=True)
 
 
-def with_fingerprints(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns in keep and fp (long)."""
+def with_fingerprints(docs: DataFrame, keep: list[str], size: int = SHINGLE) -> DataFrame:
+    """The columns in keep and fp (long), of shingles of size words."""
 
     own = fresh(docs, "text_of_row")
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = pa.array([fingerprint(t.as_py()) for t in b.column(own)], pa.int64())
+            fp = pa.array([fingerprint(t.as_py(), size) for t in b.column(own)], pa.int64())
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), fp], names=[*keep, "fp"])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
@@ -96,6 +99,23 @@ def links(fps: DataFrame) -> DataFrame:
     return plain.union(star)
 
 
+def closest(fps: DataFrame) -> DataFrame:
+    """Links (a, b) from each fingerprint of fps(fp long, unique) to the closest and to the least of those found within WIDE bits of it.
+
+    Of the three parts one differs by at most a bit then, so each is looked up with its ball of radius 1. A key brings HOT fingerprints at
+    most, so that a crowded one costs its size times HOT: links are lost there alone, and who needs all of them has an exact step behind.
+    """
+    # a part's number stands above its bits, so that the keys of all are one table
+    keys = [F.shiftrightunsigned("fp", low).bitwiseAND(F.lit((1 << width) - 1)) + F.lit(i << 32) for i, (low, width) in enumerate(PARTS)]
+    balls = [_ball(key, width) for key, (_, width) in zip(keys, PARTS)]
+    place = F.row_number().over(Window.partitionBy("key").orderBy("other"))
+    table = fps.select(F.col("fp").alias("other"), F.explode(F.array(*keys)).alias("key")).withColumn("place", place).where(F.col("place") <= HOT).drop("place")
+    apart = F.bit_count(F.col("fp").bitwiseXOR(F.col("other")))
+    met = fps.select("fp", F.explode(F.concat(*balls)).alias("key")).join(table, "key").where((apart <= WIDE) & (F.col("fp") != F.col("other")))
+    found = met.groupBy("fp").agg(F.min(F.struct(apart.alias("bits"), "other"))["other"].alias("near"), F.min("other").alias("least"))
+    return found.select(F.col("fp").alias("a"), F.explode(F.array_distinct(F.array("near", "least"))).alias("b"))
+
+
 def clusters(docs: DataFrame, keep: list[str]) -> DataFrame:
     """The columns in keep, fp, component (least fp of the group) and component_id (smallest doc_id reachable by links)."""
     keep = [c for c in keep if c not in ("fp", "component", "component_id")]

@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from helixtable.llm import near_copies
+from helixtable.llm import near_copies, simhash
 from tests.llm.conftest import words
 from tests.llm.test_near_copies import groups
 
@@ -64,3 +64,37 @@ def test_order_of_shingles_changes_nothing(spark, monkeypatch):
 
 def test_empty(spark):
     assert near_copies.keep_one(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_closest_fingerprints_against_brute_force(spark):
+    rng = random.Random(5)
+    fps = {rng.getrandbits(64) - 2**63 for _ in range(300)}
+    fps |= {f ^ sum(1 << b for b in rng.sample(range(63), rng.randrange(1, 8))) for f in fps}
+    bits = lambda a, b: ((a ^ b) % 2**64).bit_count()
+    got = {}
+    for r in simhash.closest(spark.createDataFrame([(f,) for f in fps], "fp long")).collect():
+        got.setdefault(r.a, []).append(bits(r.a, r.b))
+    nearest = {f: min(bits(f, g) for g in fps if g != f) for f in fps}
+    assert {f: min(n) for f, n in got.items()} == {f: n for f, n in nearest.items() if n <= simhash.WIDE}
+    assert all(n <= simhash.WIDE for ns in got.values() for n in ns)
+
+
+def test_crowded_keys_bring_few_links(spark):
+    fps = [(7 << 43 | i << 10,) for i in range(1500)]
+    assert spark.createDataFrame(fps, "fp long").transform(simhash.closest).count() <= 2 * len(fps)
+
+
+def test_simhash_links_come_first(spark, monkeypatch):
+    """Copies with close fingerprints are one group by SimHash, and their keys are not paired again."""
+    base = [f"u{i}" for i in range(2000)]
+    copies = [base, [*base[:-1], "other"], [*base[:-2], "two", "more"]]
+    df = spark.createDataFrame([(i, " ".join(c)) for i, c in enumerate(copies)], "doc_id long, text string")
+    asked, whole = [], near_copies._verified
+
+    def spy(pairs, texts, similarity):
+        asked.append(pairs.count())
+        return whole(pairs, texts, similarity)
+
+    monkeypatch.setattr(near_copies, "_verified", spy)
+    assert [r.doc_id for r in corpus_pipeline.near_copies(spark, df, "").collect()] == [0]
+    assert asked[0] >= 2 and asked[1:] == [0, 0]
