@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from helixtable.operators import catalog, ranges
 from helixtable.plans import binding as B
@@ -148,32 +149,42 @@ QUARANTINED = "SELECT n_name AS species, '5 fields' AS reason FROM lineitem JOIN
 # -- domain reports: an order is a query, its lines are domains; the seventh line's row is cut short
 
 
+#: Orders of a part of the reports, which a task writes, a file for each nation.
+ORDERS_A_PART = 250_000
+
+
 def _report(spark, sf) -> DataFrame:
-    """species, file (0 or 1), place and text of the parts of two reports for each nation, which differ in the version of their program."""
+    """species, part, place and text of the pieces of reports, in order: at least two reports for each nation, which differ in the version of their program.
+
+    Orders and their lines are dealt to parts once, as numbers; a part holds whole orders, even ones or odd ones, and is a report of its own for each nation.
+    """
     t = {n: B.table(spark, sf, n) for n in ("lineitem", "orders", "customer", "nation")}
     text = lambda c: F.col(c).cast("string")
-    query = F.concat(S("Q"), text("o_orderkey"))
-    code = F.when(F.col("l_returnflag") == "A", "-").when(F.col("l_returnflag") == "R", "N").otherwise("NC")
-    row = F.concat_ws(
-        "\t", S("1"), F.concat(S("Q"), text("l_orderkey")), S("Specific"), text("l_partkey"), text("l_linenumber"), F.col("l_quantity").cast("long").cast("string"), S("1e-05"), text("l_suppkey"),
-        F.concat(S("cd"), text("l_partkey")), F.concat(S("dom"), (F.col("l_suppkey") % 50).cast("string")), code, F.when(F.col("l_linenumber") == 7, "").otherwise(S("-")),
-    )
-    tables = t["lineitem"].groupBy("l_orderkey").agg(F.concat_ws("\n", F.sort_array(F.collect_list(row))).alias("rows"))  # an order has a handful of lines
+    parts = 2 * -(-t["orders"].count() // (2 * ORDERS_A_PART))
     orders = t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey")).join(t["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
-    orders = orders.join(tables, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    head = F.concat_ws("\t", S("QUERY"), query, S("Peptide"), text("o_custkey"), F.concat(S("NC_"), text("o_custkey"), S(".1:"), text("o_orderkey"), S("-9|tag:AB12CD")))
-    block = F.when(F.col("rows").isNotNull(), F.concat(S("DOMAINS\n"), "rows", S("\nENDDOMAINS\nSITES\nskipped\nENDSITES\n"))).otherwise("")
-    parts = orders.select(F.col("n_name").alias("species"), (F.col("o_orderkey") % 2).cast("int").alias("file"), F.col("o_orderkey").alias("place"), F.concat(head, S("\n"), block, S("ENDQUERY")).alias("value"))
-    session = F.concat(S("preface\nQUERY\tbefore\tdata\nDATA\nSESSION\t1\tRPSBLAST\t2."), F.col("file").cast("string"), S("\tcdd\tBLOSUM62\t0.01"))
-    start = t["nation"].select(F.col("n_name").alias("species"), F.explode(F.array(S(0), S(1))).alias("file")).select("species", "file", S(-1).cast("long").alias("place"), session.alias("value"))
-    return start.unionByName(parts)
+    of = lambda c: (F.pmod(F.xxhash64(c), F.lit(parts // 2)) * 2 + F.col(c) % 2).cast("int").alias("part")
+    item = F.struct("l_partkey", "l_linenumber", F.col("l_quantity").cast("long").alias("quantity"), "l_suppkey", "l_returnflag")
+    asked = orders.select(of("o_orderkey"), F.col("o_orderkey").alias("place"), F.col("n_name").alias("species"), F.col("o_custkey").alias("custkey"), F.lit(None).cast(t["lineitem"].select(item.alias("i")).schema["i"].dataType).alias("i"))
+    lines = t["lineitem"].select(of("l_orderkey"), F.col("l_orderkey").alias("place"), F.lit(None).cast("string").alias("species"), F.lit(None).cast(orders.schema["o_custkey"].dataType).alias("custkey"), item.alias("i"))
+    both = asked.unionByName(lines).repartition(parts, "part")
+    both = both.groupBy("part", "place").agg(F.max("species").alias("species"), F.max("custkey").alias("custkey"), F.sort_array(F.collect_list("i")).alias("items"))  # an order has a handful of lines
+    both = both.where("species IS NOT NULL").withColumn("first", F.row_number().over(Window.partitionBy("part", "species").orderBy("place")) == 1)
+    query = F.concat(S("Q"), text("place"))
+    code = lambda i: F.when(i["l_returnflag"] == "A", "-").when(i["l_returnflag"] == "R", "N").otherwise("NC")
+    row = lambda i: F.concat_ws(
+        "\t", S("1"), query, S("Specific"), i["l_partkey"].cast("string"), i["l_linenumber"].cast("string"), i["quantity"].cast("string"), S("1e-05"), i["l_suppkey"].cast("string"),
+        F.concat(S("cd"), i["l_partkey"].cast("string")), F.concat(S("dom"), (i["l_suppkey"] % 50).cast("string")), code(i), F.when(i["l_linenumber"] == 7, "").otherwise(S("-")),
+    )
+    head = F.concat_ws("\t", S("QUERY"), query, S("Peptide"), text("custkey"), F.concat(S("NC_"), text("custkey"), S(".1:"), text("place"), S("-9|tag:AB12CD")))
+    block = F.when(F.size("items") > 0, F.concat(S("DOMAINS\n"), F.array_join(F.transform("items", row), "\n"), S("\nENDDOMAINS\nSITES\nskipped\nENDSITES\n"))).otherwise("")
+    session = F.concat(S("preface\nQUERY\tbefore\tdata\nDATA\nSESSION\t1\tRPSBLAST\t2."), (F.col("part") % 2).cast("string"), S("\tcdd\tBLOSUM62\t0.01\n"))
+    return both.select("species", "part", "place", F.concat(F.when(F.col("first"), session).otherwise(""), head, S("\n"), block, S("ENDQUERY")).alias("value"))
 
 
 def _report_files(spark, sf) -> str:
     path = shared_folder(spark)
-    for file in (0, 1):  # a write puts the rows of a species into one file
-        part = _report(spark, sf).where(F.col("file") == file).repartition("species").sortWithinPartitions("species", "place")
-        part.select("species", "value").write.mode("append").partitionBy("species").text(path)
+    rows = _report(spark, sf).sortWithinPartitions("species", "part", "place")
+    rows.select("species", "part", "value").write.partitionBy("species", "part").text(path)
     return path
 
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from helixtable.functions import columns as C
 from helixtable.schemas import DOMAIN_FIELDS, HIT_FIELDS, RPS_FIELDS
 from helixtable.scratch import kept
+from helixtable.sources.report_lines import labelled
 
 FASTA_FILES = "*.{fa,fasta,fas,fna,FA,FASTA,FAS,FNA}"
 
@@ -60,56 +60,15 @@ def read_rps_tab(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def parse_report_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of `domains` from lines(species, file, block, id, value) of domain reports, and the lines that could not be used.
+    """Rows of `domains` from lines(species, file, block, value) of domain reports, in the order of the files, and the lines that could not be used.
 
-    Lines carry the session and the query above them in their file. Context is carried inside a block (a file split) by a window
-    over the block, and between blocks by a window over one row for each block of the file, so that no task needs a whole large file.
-    A DOMAINS line opens a table only as the very next line of a QUERY; a query without one gives a row without a domain,
-    an empty table gives none.
+    Lines carry the session and the query above them in their file (see report_lines.py). A DOMAINS line opens a table only as the very
+    next line of a QUERY; a query without one gives a row without a domain, an empty table gives none.
     """
-    keys = ["species", "file", "block"]
-    inside = Window.partitionBy(*keys).orderBy("id")
-    over_blocks = Window.partitionBy("species", "file").orderBy("block")
-    earlier = over_blocks.rowsBetween(Window.unboundedPreceding, -1)
-    df = lines.select(*keys, "id", F.regexp_replace("value", r"^\s+|\s+$", "").alias("line"))
-
-    def with_blocks(df: DataFrame, aggregates: list[Column], carried: dict[str, Column]) -> DataFrame:
-        b = df.groupBy(*keys).agg(*aggregates)
-        return df.join(b.select(*keys, *[c.alias(n) for n, c in carried.items()]), keys)
-
-    # neighbours of each line, and whether DATA was seen
-    df = with_blocks(
-        df,
-        [F.min_by("line", "id").alias("first"), F.max_by("line", "id").alias("final"), F.bool_or(F.col("line") == "DATA").alias("data")],
-        {"_before": F.lag("final").over(over_blocks), "_after": F.lead("first").over(over_blocks), "_seen": F.coalesce(F.bool_or("data").over(earlier), F.lit(False))},
-    )
-    so_far = inside.rowsBetween(Window.unboundedPreceding, -1)
-    df = df.select(
-        *keys, "id", "line",
-        F.coalesce(F.lag("line").over(inside), "_before").alias("previous"),
-        F.coalesce(F.lead("line").over(inside), "_after").alias("following"),
-        (F.col("_seen") | F.coalesce(F.bool_or(F.col("line") == "DATA").over(so_far), F.lit(False))).alias("started"),
-    ).where("started")
-
-    opens = (F.col("line") == "DOMAINS") & F.coalesce(F.col("previous").startswith("QUERY"), F.lit(False))
-    event = F.when(opens, "open").when(F.col("line").startswith("ENDDOMAINS"), "close")
-    parts = F.split("line", "\t")
-    session = F.when(F.col("line").startswith("SESSION"), parts)
-    query = F.when(F.col("line").startswith("QUERY"), parts)
-    df = df.select("*", event.alias("event"), session.alias("session"), query.alias("query"))
-    last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("id"))).alias(c)
-    state = ["event", "session", "query"]
-    df = with_blocks(df, [last(c) for c in state], {f"_{c}": F.last(c, ignorenulls=True).over(earlier) for c in state})
-    now = inside.rowsBetween(Window.unboundedPreceding, 0)
-    df = df.select(
-        "species", "line", "following", parts.alias("p"), F.col("query").isNotNull().alias("is_query"),
-        F.coalesce(F.last("event", ignorenulls=True).over(so_far), "_event").alias("table"),
-        F.coalesce(F.last("session", ignorenulls=True).over(now), "_session").alias("s"),
-        F.coalesce(F.last("query", ignorenulls=True).over(now), "_query").alias("q"),
-    )
-
-    in_table = F.coalesce(F.col("table") == "open", F.lit(False)) & ~F.col("line").startswith("ENDDOMAINS")
-    alone = F.col("is_query") & ~F.coalesce(F.col("following") == "DOMAINS", F.lit(False))
+    df = labelled(lines.select("species", "file", "block", F.regexp_replace("value", r"^\s+|\s+$", "").alias("line")))
+    parts = lambda c: F.split(c, "\t")
+    df = df.select("species", "line", "in_table", "alone", "is_query", parts("line").alias("p"), parts("session").alias("s"), parts("query").alias("q"))
+    in_table, alone = F.col("in_table"), F.col("alone")
     short = (in_table & (F.size("p") < 12)) | (F.col("is_query") & ~in_table & (F.size("p") < 5)) | (F.col("line").startswith("SESSION") & ~in_table & (F.size("p") < 7))
     field = lambda arr, i: F.coalesce(F.get(F.col(arr), i), F.lit(""))
     d = lambda i: F.when(in_table, field("p", i)).otherwise("")
@@ -134,7 +93,7 @@ def read_domain_report(spark: SparkSession, path: str | list[str], base: str | N
     raw = reader.text(path)
     meta = F.col("_metadata")
     raw = raw.select(
-        species_of(raw, C.file_stem(meta["file_name"])).alias("species"), meta["file_path"].alias("file"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("id"), "value"
+        species_of(raw, C.file_stem(meta["file_name"])).alias("species"), meta["file_path"].alias("file"), meta["file_block_start"].alias("block"), "value"
     )
     return parse_report_lines(raw)
 
