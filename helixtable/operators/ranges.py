@@ -40,24 +40,25 @@ def _islands(df: DataFrame, keys: list[str], min_gap: int, sums: list) -> DataFr
 
 
 def _reaching(rows: DataFrame, min_gap: int, size: int) -> DataFrame:
-    """_g, _bin and _reach: how far ranges of earlier bins reach, for the bins that they reach or touch. Only ranges that cross an edge count."""
+    """_h, _g, _bin and _reach: how far ranges of earlier bins reach, for the bins that they reach or touch. Only ranges that cross an edge count, and islands do for their ranges."""
     crossing = rows.where(F.col("end") + min_gap >= (F.col("_bin") + 1) * size).groupBy("_g", "_bin").agg(F.max("end").alias("_reach"))
     met = F.explode(F.sequence(F.col("_bin") + 1, F.floor((F.col("_reach") + min_gap) / size)))
-    return crossing.select("_g", met.alias("_bin"), "_reach").groupBy("_g", "_bin").agg(F.max("_reach").alias("_reach"))
+    reached = crossing.select("_g", met.alias("_bin"), "_reach").groupBy("_g", "_bin").agg(F.max("_reach").alias("_reach"))
+    return reached.select(F.xxhash64("_g", "_bin").alias("_h"), "*")
 
 
 def _stitched(islands: DataFrame, reaching: DataFrame, min_gap: int, size: int, sums: list) -> DataFrame:
-    """Islands of bins (_g, _bin) merged over the edges of the bins; only those at edges move.
+    """Islands of bins (_h, _g, _bin) merged over the edges of the bins; only those at edges move.
 
     What earlier bins reach is one island with whatever reaches so far, so a bin has at most two rows to stitch: all its islands that are
     reached, and the last one where that goes beyond the bin without being reached. The join and the first grouping keep the bins' partitioning.
     """
-    df = islands.join(reaching, ["_g", "_bin"], "left")
+    df = islands.join(reaching, ["_h", "_g", "_bin"], "left")
     reached = F.coalesce(F.col("start") <= F.col("_reach") + min_gap, F.lit(False))
     edge = reached | (F.col("end") + min_gap >= (F.col("_bin") + 1) * size)
     merged = [F.min("start").alias("start"), F.max("end").alias("end"), *sums]
-    edges = df.where(edge).withColumn("_reached", reached).groupBy("_g", "_bin", "_reached").agg(*merged)
-    moved = _islands(edges.drop("_bin", "_reached"), ["_g"], min_gap, sums)
+    edges = df.where(edge).withColumn("_reached", reached).groupBy("_h", "_g", "_bin", "_reached").agg(*merged)
+    moved = _islands(edges.drop("_bin", "_reached").withColumn("_h", F.xxhash64("_g")), ["_h", "_g"], min_gap, sums)
     return df.where(~edge).select(moved.columns).union(moved)
 
 
@@ -66,7 +67,7 @@ def reduce_ranges(ranges: DataFrame, by: list[str] = GROUP, min_gap: int = 1, bi
 
     The mean is null if a member's score is. Ranges are merged within bins of their starts, of bin_size bases, and the islands at the bins'
     edges then over these, with sums and counts travelling along: no task needs more of a group than a bin, or two
-    rows for each of its bins. Whether any range crosses an edge is found out first; where none does, the bins' islands are the result.
+    rows for each of its bins. The bins' islands are written once, and whether any crosses an edge is found out from them; where none does, they are the result.
     With bin_size=None one window runs over each whole group. Ranges without a chromosome or a coordinate are not merged: see split_valid().
     """
     valid, _ = split_valid(ranges)
@@ -75,11 +76,12 @@ def reduce_ranges(ranges: DataFrame, by: list[str] = GROUP, min_gap: int = 1, bi
     sums = [F.sum("_s").alias("_s"), F.sum("_nulls").alias("_nulls"), F.sum("_n").alias("_n")]
     if bin_size:
         binned = rows.withColumn("_bin", F.floor(F.col("start") / bin_size))
-        merged, reaching = _islands(binned, ["_g", "_bin"], min_gap, sums), kept(_reaching(binned, min_gap, bin_size))
+        merged = kept(_islands(binned.withColumn("_h", F.xxhash64("_g", "_bin")), ["_h", "_g", "_bin"], min_gap, sums))
+        reaching = kept(_reaching(merged, min_gap, bin_size))
         if reaching.limit(1).count():
             merged = _stitched(merged, reaching, min_gap, bin_size, sums)
     else:
-        merged = _islands(rows, ["_g"], min_gap, sums)
+        merged = _islands(rows.withColumn("_h", F.xxhash64("_g")), ["_h", "_g"], min_gap, sums)
     return merged.select(
         *[F.col("_g")[c].alias(c) for c in by], "start", "end", (F.col("end") - F.col("start") + 1).alias("width"), F.when(F.col("_nulls") == 0, F.col("_s") / F.col("_n")).alias("mean_bitscore"), F.col("_n").alias("members")
     )

@@ -103,6 +103,23 @@ def test_strand_before_order_and_nulls(spark):
     assert (good.count(), bad.count()) == (2, 2)
 
 
+@pytest.mark.parametrize("size", [4, 1 << 20])
+def test_ranges_are_computed_once(spark, size):
+    """Also where ranges cross the edges of bins, and where groups hold nulls."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def part(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = [("s", None, "-", "NC_1", "+", 1, 9, 2.0), ("s", None, "-", "NC_1", "+", 8, 14, 4.0), ("s", "d", "-", "NC_1", "+", 8, 9, 1.0)]
+    schema = "species string, domain string, incomplete string, chromosome string, strand string, start long, end long, bitscore double"
+    df = spark.createDataFrame(rows, schema).mapInArrow(part, schema)
+    got = sorted((r.domain or "", r.start, r.end, r.mean_bitscore, r.members) for r in ranges.reduce_ranges(df, bin_size=size).collect())
+    assert got == [("", 1, 14, 3.0, 2), ("d", 8, 9, 1.0, 1)] and seen.value == 3
+
+
 def test_labels_and_parsing(spark):
     assert one(spark, "NC_1.1:5-90|tag:AB12CD", C.tag_of) == "AB12CD"
     assert one(spark, "NC_1.1:5-90|tag:AB12CD", C.without_tags) == "NC_1.1:5-90"
