@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from helixtable.functions import columns as C
 from helixtable.schemas import HIT_DOUBLES, HIT_LONGS
@@ -64,31 +65,24 @@ def dedupe_wide(hits: DataFrame) -> DataFrame:
 def unique_tags(hits: DataFrame, length: int = 6) -> DataFrame:
     """hits with a tag that no different row has: the first letters of a digest, and twice as many where these are another row's too, until none are.
 
-    Only digests that clash are looked at again, and only their rows are joined. Equal rows have one tag; null and the empty text differ.
+    Rows are brought together once, by the first letters, and sorted by their digests: of each length, those clash whose group has a least and a greatest digest
+    that differ. Equal rows have one tag; null and the empty text differ.
     """
     cols = [c for c in hits.columns if c != "tag"]
     text = lambda c: F.col(c).cast("string")
     parts = F.concat(*[F.coalesce(F.concat(F.char_length(text(c)).cast("string"), F.lit(":"), text(c)), F.lit("-")) for c in cols])
-    marked = hits.select(*cols, F.upper(F.sha2(parts, 256)).alias("_digest"))
-    head = lambda n: F.substring("_digest", 1, n)
-    clashing, longer, n = kept(marked.select("_digest").distinct()), [], length
-    while n < 64:
-        shared = clashing.groupBy(head(n).alias("_head")).count().where("count > 1").select("_head")
-        clashing = clashing.withColumn("_head", head(n))
-        if n > length:
-            longer.append(clashing.join(shared, "_head", "left_anti").select("_digest", F.col("_head").alias("_tag")))
-        clashing = kept(clashing.join(shared, "_head", "left_semi").select("_digest"))
-        if not clashing.limit(1).count():
-            break
-        n *= 2
-    else:
-        longer.append(clashing.select("_digest", F.col("_digest").alias("_tag")))
-    if not longer:
-        return marked.select(*cols, head(length).alias("tag"))
-    tags = longer[0]
-    for more in longer[1:]:
-        tags = tags.union(more)
-    return marked.join(kept(tags), "_digest", "left").select(*cols, F.coalesce("_tag", head(length)).alias("tag"))
+    digest, lengths = F.upper(F.sha2(parts, 256)), []
+    while length << len(lengths) < 64:
+        lengths.append(length << len(lengths))
+    # the digest is made again behind the shuffle, where its letters would be most of what moves
+    near = hits.select(*cols, F.substring(digest, 1, length).alias("_head")).repartition("_head").withColumn("_digest", digest)
+    heads = ["_head", *[f"_head{n}" for n in lengths[1:]]]
+    near = near.withColumns({f"_head{n}": F.substring("_digest", 1, n) for n in lengths[1:]}).sortWithinPartitions(*heads)
+    for i, n in enumerate(lengths):
+        w = Window.partitionBy(*heads[: i + 1])
+        near = near.withColumn(f"_own{n}", F.min("_digest").over(w) == F.max("_digest").over(w))
+    tag = F.coalesce(*[F.when(F.col(f"_own{n}"), F.substring("_digest", 1, n)) for n in lengths], "_digest")
+    return near.select(*cols, tag.alias("tag"))
 
 
 def tag_hits(hits: DataFrame, length: int = 6) -> DataFrame:

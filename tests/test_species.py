@@ -41,6 +41,13 @@ def test_tags_are_unique(spark):
     assert H.unique_tags(df.where("false")).count() == 0
 
 
+def test_tags_take_one_shuffle(spark):
+    df = spark.createDataFrame([(i % 900, "x") for i in range(1000)], "id long, name string")
+    tagged = H.unique_tags(df, 1)
+    assert tagged._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert len({r.tag for r in tagged.collect()}) == 900
+
+
 def test_wide_rows(spark, monkeypatch):
     rows = [("a", "x" * 1000, 0.0), ("a", "x" * 1000, -0.0), ("a", "y", None), ("a", "y", None), (None, "y", 1.0), ("y", None, 1.0), ("b", "z", float("nan")), ("b", "z", float("nan"))]
     df = spark.createDataFrame(rows * 3 + [("c", "only", 1.0)], "species string, sequence string, score double")
