@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 SPACE = " \t\n\x0b\x0c\r"
 SPACES = r"[\x20\x09-\x0D]+"
 
-#: Most rows of two numbers that components() broadcasts.
+#: Most rows of two numbers that components() broadcasts, or holds in one partition.
 JUMPS = 100_000
 
 
@@ -88,23 +88,27 @@ def components(nodes: DataFrame | None, links: DataFrame, rounds: int = 60) -> D
     to the label's own label, so that long chains shrink geometrically. Nodes without links never enter the rounds.
 
     Labels that have moved themselves are few near the end and never those of settled components, whose members so need no jump:
-    only they are joined to the members, as a broadcast where a count says that they are at most JUMPS.
+    only they are joined to the members, as a broadcast where a count says that they are at most JUMPS. Where a count says
+    that all links are at most JUMPS, the rounds have one partition and broadcast joins, so that none shuffles.
     """
     both = links.where(F.col("a") != F.col("b"))
     both = settled(both.select("a", "b").union(both.select(F.col("b"), F.col("a"))).distinct())
-    labels = settled(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
+    few = both.count() <= JUMPS
+    settle, side = (lambda df: settled(df).coalesce(1), F.broadcast) if few else (settled, lambda df: df)
+    both = both.coalesce(1) if few else both
+    labels = settle(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
     for _ in range(rounds):
-        near = both.join(labels, both.b == labels.node).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        step = settled(labels.join(near, "node").select("node", F.least("label", "near").alias("to"), "label"))
+        near = both.join(side(labels), both.b == labels.node).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        step = settle(labels.join(side(near), "node").select("node", F.least("label", "near").alias("to"), "label"))
         # where labels lead: the least one that each label in use has itself now
-        roots = step.select("to").distinct().join(step.select(F.col("node").alias("to"), F.col("to").alias("far")), "to").where("far < to")
+        roots = step.select("to").distinct().join(side(step.select(F.col("node").alias("to"), F.col("to").alias("far"))), "to").where("far < to")
         n = roots.count()
         moved = step.withColumn("far", F.col("to")) if not n else step.join(F.broadcast(roots) if n <= JUMPS else roots, "to", "left")
         labels = moved.select("node", F.least("to", F.coalesce("far", "to")).alias("now"), "label")
         if not n and not step.where("to <> label").limit(1).count():
             labels = labels.select("node", F.col("now").alias("label"))
             break
-        labels = settled(labels.select("node", F.col("now").alias("label")))
+        labels = settle(labels.select("node", F.col("now").alias("label")))
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     named = labels.select("node", F.col("label").alias("component"))
