@@ -72,16 +72,19 @@ def reduce_ranges(ranges: DataFrame, by: list[str] = GROUP, min_gap: int = 1, bi
     """
     valid, _ = split_valid(ranges)
     # groups are compared as structs, which are equal also where they hold nulls
-    rows = valid.select(F.struct(*by).alias("_g"), "start", "end", F.col("bitscore").cast("double").alias("_s"), F.col("bitscore").isNull().cast("long").alias("_nulls"), F.lit(1).cast("long").alias("_n"))
+    rows = valid.select(F.struct(*by).alias("_g"), "start", "end", "bitscore")
+    score = [F.col("bitscore").cast("double").alias("_s"), F.col("bitscore").isNull().cast("long").alias("_nulls"), F.lit(1).cast("long").alias("_n")]
     sums = [F.sum("_s").alias("_s"), F.sum("_nulls").alias("_nulls"), F.sum("_n").alias("_n")]
     if bin_size:
-        binned = rows.withColumn("_bin", F.floor(F.col("start") / bin_size))
-        merged = kept(_islands(binned.withColumn("_h", F.xxhash64("_g", "_bin")), ["_h", "_g", "_bin"], min_gap, sums))
+        h = F.xxhash64("_g", "_bin").alias("_h")
+        # what follows from other columns is neither shuffled nor written
+        dealt = rows.withColumn("_bin", F.floor(F.col("start") / bin_size)).repartition("_g", "_bin")
+        merged = kept(_islands(dealt.select(h, "_g", "_bin", "start", "end", *score), ["_h", "_g", "_bin"], min_gap, sums).drop("_h")).select(h, "*")
         reaching = kept(_reaching(merged, min_gap, bin_size))
         if reaching.limit(1).count():
             merged = _stitched(merged, reaching, min_gap, bin_size, sums)
     else:
-        merged = _islands(rows.withColumn("_h", F.xxhash64("_g")), ["_h", "_g"], min_gap, sums)
+        merged = _islands(rows.repartition("_g").select(F.xxhash64("_g").alias("_h"), "_g", "start", "end", *score), ["_h", "_g"], min_gap, sums)
     return merged.select(
         *[F.col("_g")[c].alias(c) for c in by], "start", "end", (F.col("end") - F.col("start") + 1).alias("width"), F.when(F.col("_nulls") == 0, F.col("_s") / F.col("_n")).alias("mean_bitscore"), F.col("_n").alias("members")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixtable.schemas import DOMAIN_FIELDS
-from helixtable.scratch import kept
+from helixtable.scratch import kept_meanwhile, removed, shuffles_dropped
 
 
 def _unless_empty(df: DataFrame, path: str, mode: str, written: DataFrame | None = None) -> bool:
@@ -23,8 +23,7 @@ def _unless_empty(df: DataFrame, path: str, mode: str, written: DataFrame | None
             raise
         empty = True
     if empty and mode != "append":
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        removed(spark, path)
     return not empty
 
 
@@ -77,33 +76,42 @@ def write_fasta(records: DataFrame, path: str, mode: str = "errorifexists") -> b
     return _unless_empty(records, path, mode, records.sparkSession.read.text(path))
 
 
+#: The columns that GFF3 lines are made of, in the order by which they are sorted.
+GFF3_ORDER = ["species", "chromosome", "start", "end", "strand", "domain", "incomplete", "mean_bitscore"]
+
+
 def escaped(value: Column) -> Column:
     """Reserved characters of GFF3 attributes, as %XX."""
     out = F.replace(value, F.lit("%"), F.lit("%25"))
     for c in "\t\n\r;=&,":
         out = F.replace(out, F.lit(c), F.lit(f"%{ord(c):02X}"))
-    return out
+    return F.when(value.rlike(r"[%\t\n\r;=&,]"), out).otherwise(value)  # most values have none
 
 
-def gff3_lines(ranges: DataFrame, source: str = "helixtable") -> DataFrame:
-    """species and one GFF3 line for each range."""
+def gff3_line(source: str = "helixtable") -> Column:
+    """The GFF3 line of a range."""
     attributes = [F.concat(F.lit(f"{n}="), escaped(F.coalesce(F.col(n).cast("string"), F.lit("NA")))) for n in ("species", "domain", "incomplete", "mean_bitscore")]
     fields = [F.col("chromosome"), F.lit(source), F.lit("sequence_feature"), F.col("start").cast("string"), F.col("end").cast("string"), F.lit("."), F.col("strand"), F.lit("."), F.concat_ws(";", *attributes)]
-    return ranges.select("species", F.col("chromosome").alias("_c"), F.col("start").alias("_s"), F.concat_ws("\t", *fields).alias("value"))
+    return F.concat_ws("\t", *fields)
 
 
 def write_gff3(ranges: DataFrame, path: str, mode: str = "errorifexists") -> bool:
-    """A folder for each species, the version line first and ranges in order.
+    """A folder for each species, the version line first and ranges in the order of GFF3_ORDER.
 
     Rows are dealt by ranges of species and place, so a large species is written by many tasks: its files, in the order of their
-    names, are one GFF3 file, and the first of them has the version line. A small species is one file. The lines are written once before,
-    so that the samples for the ranges do not compute them again.
+    names, are one GFF3 file, and the first of them has the version line. A small species is one file. The ranges are written once before,
+    so that the samples for the dealing do not compute them again, and taken away at the end. Only the tasks that write the files make
+    lines of them, which are longer and are neither kept nor shuffled.
     """
-    lines = kept(gff3_lines(ranges))
-    heads = lines.select("species").distinct().select("species", F.lit(None).cast("string").alias("_c"), F.lit(None).cast("long").alias("_s"), F.lit("##gff-version 3").alias("value"))
-    both = heads.unionByName(lines).repartitionByRange("species", "_c", "_s", "value").sortWithinPartitions("species", "_c", "_s", "value")
-    both.select("species", "value").write.mode(mode).partitionBy("species").text(path)
-    return _unless_empty(lines, path, mode, lines.sparkSession.read.text(path))
+    spark = ranges.sparkSession
+    with kept_meanwhile(ranges.select(GFF3_ORDER)) as rows, shuffles_dropped(spark):
+        head = [F.lit(None).cast(rows.schema[n].dataType).alias(n) for n in GFF3_ORDER[1:]]
+        heads = rows.select(F.nullif("species", F.lit("")).alias("species")).distinct().select("species", *head, F.lit(0).alias("_line"))
+        order = ["species", "_line", *GFF3_ORDER[1:]]
+        both = heads.unionByName(rows.withColumn("_line", F.lit(1))).repartitionByRange(*order).sortWithinPartitions(*order)
+        value = F.when(F.col("_line") == 0, "##gff-version 3").otherwise(gff3_line())
+        both.select("species", value.alias("value")).write.mode(mode).partitionBy("species").text(path)
+    return _unless_empty(ranges, path, mode, spark.read.text(path))
 
 
 def append_provenance(df: DataFrame, path: str) -> None:

@@ -1,7 +1,9 @@
 """Edge semantics of ranges, reports, readers and writers on hand-made rows."""
 
 import random
+import time
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from helixtable.functions import columns as C
 from helixtable.operators import catalog, ranges, reports, seeds
 from helixtable.operators import hits as H
+from helixtable.scratch import shared_folder
 from helixtable.sources import readers as R
 from helixtable.sources import writers as W
 from helixtable.streaming.incremental import ingest_increment
@@ -231,6 +234,45 @@ def test_gff3_file(spark, tmp_path):
     assert files[0].read_text().splitlines() == ["##gff-version 3", "NC_1\thelixtable\tsequence_feature\t1\t4\t.\t+\t.\tspecies=s;domain=d;incomplete=N;mean_bitscore=2.5", "NC_1\thelixtable\tsequence_feature\t5\t9\t.\t+\t.\tspecies=s;domain=a%3Bb%3Dc;incomplete=-;mean_bitscore=NA"]
 
 
+GFF3 = "species string, domain string, incomplete string, chromosome string, strand string, start long, end long, mean_bitscore double"
+
+
+def test_gff3_leaves_nothing_but_its_files(spark, tmp_path):
+    """No shuffled ranges and no scratch table are left; a few bytes of the look whether there are lines do not count."""
+    shuffles = lambda: {p for p in Path(spark.conf.get("spark.local.dir")).rglob("shuffle_*.data") if p.stat().st_size > 1000}
+    hits = spark.range(20_000).selectExpr("concat('s', id % 3) as species", "concat('d', id % 7) as domain", "'-' as incomplete", "'NC_1' as chromosome", "'+' as strand", "id * 10 as start", "id * 10 + 4 as end", "1.5D as bitscore")
+    reduced = ranges.reduce_ranges(hits)  # keeps tables of its own, which it reads
+    shared = Path(shared_folder(spark)).parent
+    tables, files = set(shared.iterdir()), shuffles()
+    assert W.write_gff3(reduced, str(tmp_path / "g"))
+    for _ in range(100):  # they are taken away soon after
+        if not (left := shuffles() - files):
+            break
+        time.sleep(0.1)
+    assert not left and set(shared.iterdir()) == tables
+    assert sum(len(p.read_text().splitlines()) for p in (tmp_path / "g").rglob("part-*")) == 20_003
+
+
+def test_gff3_in_order_over_files(spark, tmp_path):
+    """The files of a species are one GFF3 file, whatever the species' name: null and blank ones share a folder, and so a version line."""
+    rows = [(s, d, "-", c, x, a, a + n, 1.0) for s in ("large", None, "") for c in ("NC_1", "NC_2") for a in (9, 10, 100) for n in (5, 20, 100) for d in "ab" for x in "-+"]
+    random.Random(5).shuffle(rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        W.write_gff3(spark.createDataFrame(rows, GFF3).repartition(4), str(tmp_path / "g"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    many = False
+    for folder, names in (("large", ["large"]), ("__HIVE_DEFAULT_PARTITION__", [None, ""])):
+        files = sorted((tmp_path / "g" / f"species={folder}").glob("part-*"))
+        first, *lines = [line for f in files for line in f.read_text().splitlines()]
+        many |= len(files) > 1
+        want = [r for s in names for r in sorted((r for r in rows if r[0] == s), key=lambda r: (r[3], r[5], r[6], r[4], r[1]))]
+        assert first == "##gff-version 3"
+        assert [line.split("\t") for line in lines] == [[r[3], "helixtable", "sequence_feature", str(r[5]), str(r[6]), ".", r[4], ".", f"species={'NA' if r[0] is None else r[0]};domain={r[1]};incomplete=-;mean_bitscore=1.0"] for r in want]
+    assert many
+
+
 def test_csv2_and_empty_tables(spark, tmp_path):
     df = spark.createDataFrame([("a", 1.5)], "species string, x double")
     W.write_csv2(df, str(tmp_path / "c"))
